@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Long form -> short form.
@@ -75,23 +75,25 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"([{WORD}]{{2,}})"), F.lit(1))
 
 
-def word_terms(text: Column) -> Column:
-    """Words of two or more characters, and every pair of neighbours among them."""
-    toks = words(text)
+def padded_words(text: Column) -> Column:
+    """Each word with one space on both sides."""
+    return F.transform(
+        F.array_remove(F.split(text, f"[{SPACE}]+"), ""), lambda w: F.concat(F.lit(" "), w, F.lit(" "))
+    )
+
+
+def _with_pairs(toks: Column) -> Column:
+    """The words, and every pair of neighbours among them."""
+    followed = F.greatest(F.size(toks) - 1, F.lit(0))
     pairs = F.zip_with(
-        toks,
-        F.slice(toks, F.lit(2), F.greatest(F.size(toks) - 1, F.lit(0))),
+        F.slice(toks, F.lit(1), followed),
+        F.slice(toks, F.lit(2), followed),
         lambda left, right: F.concat_ws(" ", left, right),
     )
-    # the last word has no right neighbour
-    return F.concat(toks, F.slice(pairs, F.lit(1), F.greatest(F.size(toks) - 1, F.lit(0))))
+    return F.concat(toks, pairs)
 
 
-def char_terms(text: Column) -> Column:
-    """Character trigrams of each word padded with one space on both sides."""
-    padded = F.transform(
-        F.array_remove(F.split(text, f"[{SPACE}]+"), ""), lambda w: F.concat(F.lit(" "), w, F.lit(" "))
-    )
+def _trigrams(padded: Column) -> Column:
     return F.flatten(
         F.transform(
             padded,
@@ -100,9 +102,12 @@ def char_terms(text: Column) -> Column:
     )
 
 
-def terms(text: Column, analyzer: str) -> Column:
-    if analyzer == "word":
-        return word_terms(text)
-    if analyzer == "char":
-        return char_terms(text)
-    raise ValueError(f"unknown analyzer {analyzer!r}")
+def explode_terms(df: DataFrame, keep: list[str], text: str, analyzer: str) -> DataFrame:
+    """One row per term occurrence of ``text``: ``(keep..., term)``.
+
+    'word' gives words of two or more characters and pairs of neighbours, 'char' the trigrams
+    inside padded words. The text is split in a step of its own, so once per row.
+    """
+    split, expand = {"word": (words, _with_pairs), "char": (padded_words, _trigrams)}[analyzer]
+    split_rows = df.select(*keep, split(F.col(text)).alias("_toks"))
+    return split_rows.select(*keep, F.explode(expand(F.col("_toks"))).alias("term"))

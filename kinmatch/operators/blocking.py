@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..params import LinkParams
+from ..session import stage
 from .similarity import SimilarityIndex
 from .tfidf import digest
 
@@ -57,11 +58,19 @@ def stream(s1: DataFrame, s23: DataFrame, fields: dict[str, Column], k_of: dict[
     return index.top_k(docs(s1, fields))
 
 
+def _once(s1: DataFrame, s23: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Normalise once: several passes read these columns."""
+    columns = ("entity_id", "src", "nn", "na", "cc")
+    return stage(s1.select(*columns), "s1"), stage(s23.select(*columns), "s23")
+
+
 def name_stream(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams()) -> DataFrame:
+    s1, s23 = _once(s1, s23)
     return stream(s1, s23, {"name": F.col("nn")}, {"name": params.name_k}, params).drop("corpus")
 
 
 def addr_stream(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams()) -> DataFrame:
+    s1, s23 = _once(s1, s23)
     return stream(s1, s23, {"addr": F.col("na")}, {"addr": params.addr_k}, params).drop("corpus")
 
 
@@ -103,6 +112,7 @@ def _exact_rows(s1: DataFrame, s23: DataFrame, cap: int) -> DataFrame:
 
 def block(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams()) -> DataFrame:
     """Candidate pairs of every source-1 record, in list order."""
+    s1, s23 = _once(s1, s23)
     fields = {"name": F.col("nn"), "addr": F.col("na")}
     similar = stream(s1, s23, fields, {"name": params.name_k, "addr": params.addr_k}, params).select(
         "s1_id",
@@ -117,6 +127,7 @@ def block(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams()) -> D
 
 def block_single(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams()) -> DataFrame:
     """One stream over the weighted text (name twice, then address) plus exact names."""
+    s1, s23 = _once(s1, s23)
     fields = {"text": tx.blocking_text(F.col("nn"), F.col("na"))}
     similar = stream(s1, s23, fields, {"text": params.single_k}, params).select(
         "s1_id", "c_id", F.lit(NAME).alias("stream"), "rank", "score"

@@ -1,7 +1,9 @@
 """First-n and row-range selection per group without sorting a whole group in one task.
 
 A plain ``row_number`` over a large group puts that group into one task. Here every group is
-counted by a coarse key first; only the coarse bucket in which the cut falls is sorted.
+counted by a coarse key first; only the coarse bucket in which the cut falls is sorted. The per
+group figures are staged, so the engine knows how small they are and the rows themselves are not
+shuffled by group to meet them.
 """
 
 from __future__ import annotations
@@ -9,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 
 def spread(entity_id: str | Column) -> Column:
     """A repeatable pseudo-random order of IDs, the same in any engine with MD5."""
@@ -41,6 +45,7 @@ def first_n(df: DataFrame, group: list[str], coarse: list[str], fine: list[Colum
             starts.where((F.col("_before") < F.col("_n")) & (F.col("_before") + F.col("_rows") >= F.col("_n")))
             .select(*group, F.col(column).alias("_cut"), (F.col("_n") - F.col("_before")).alias("_left"))
         )
+        cut = stage(cut, "cut")
         placed = pending.join(cut, group, "left") if group else pending.join(F.broadcast(cut), F.lit(True), "left")
         inside = placed.where(
             (F.col("_n") > 0) & (F.col("_cut").isNull() | (F.col(column) < F.col("_cut")))
@@ -54,7 +59,7 @@ def first_n(df: DataFrame, group: list[str], coarse: list[str], fine: list[Colum
 
 def ordinal(df: DataFrame, group: list[str], coarse: str, fine: list[Column], name: str) -> DataFrame:
     """Add the zero-based position of each row inside its group."""
-    starts = bucket_starts(df, group, coarse).drop("_rows")
+    starts = stage(bucket_starts(df, group, coarse).drop("_rows"), "starts")
     inside = F.row_number().over(Window.partitionBy(*group, coarse).orderBy(*fine)) - 1
     return (
         df.withColumn("_inside", inside)
@@ -73,8 +78,9 @@ def row_range(df: DataFrame, group: list[str], coarse: str, fine: list[Column],
         (F.col("_before") < end) & (F.col("_before") + F.col("_rows") > start)
     )
     inside = F.row_number().over(Window.partitionBy(*group, coarse).orderBy(*fine)) - 1
+    starts = stage(starts.drop("_rows"), "starts")
     return (
-        df.join(starts.drop("_rows"), [*group, coarse])
+        df.join(starts, [*group, coarse])
         .withColumn("_at", F.col("_before") + inside)
         .where((F.col("_at") >= start) & (F.col("_at") < end))
         .drop("_before", "_at")

@@ -31,7 +31,8 @@ SLACK = 1e-8  # wider than the rounding of scores
 
 
 def ranked(score: Column) -> Column:
-    return F.round(score, 9)
+    """The score in whole billionths, rounded half up."""
+    return F.floor(score * 1e9 + 0.5)
 
 
 def _top(df: DataFrame, group: str, score: str, tie: str, k: int) -> DataFrame:
@@ -51,13 +52,9 @@ class SimilarityIndex:
         self.k_max = max(k_of.values())
         self.space = tfidf.TermSpace(docs, params)
         self.vectors = stage(self._vectors(docs), "vectors")
-        self.postings = stage(
-            self.vectors.select("corpus", "vid", F.explode("vec").alias("t")).select(
-                "corpus", "vid", F.col("t.tid").alias("tid"), F.col("t.w").alias("w")
-            ),
-            "postings",
+        self.postings = self.vectors.select("corpus", "vn", F.explode("vec").alias("t")).select(
+            "corpus", "vn", F.col("t.tid").alias("tid"), F.col("t.w").alias("w")
         )
-        self.stats = stage(self._stats(), "stats")
 
     def k_column(self) -> Column:
         field = F.substring_index("corpus", ":", 1)
@@ -65,7 +62,11 @@ class SimilarityIndex:
         return F.element_at(F.create_map(*pairs), field)
 
     def _vectors(self, docs: DataFrame) -> DataFrame:
-        """``(corpus, vid, vec, ids)``: the smallest IDs having this vector; ``vid`` is the first."""
+        """``(corpus, vn, vec, ids)``: a vector and the smallest IDs that have it.
+
+        Vectors are numbered in the order of their first ID, so the short number ``vn`` breaks
+        ties exactly as the ID would.
+        """
         per_text = self.space.weigh(self.space.counts, ["corpus", "tkey"]).select(
             "corpus", "tkey", F.transform("vec", lambda t: F.struct(t["tid"].alias("tid"), t["w"].alias("w"))).alias("vec")
         )
@@ -81,7 +82,8 @@ class SimilarityIndex:
             tfidf.first_ids(rows, ["corpus", "vec"], "id", self.k_max)
             .groupBy("corpus", "vec")
             .agg(F.sort_array(F.collect_list("id")).alias("ids"))
-            .select("corpus", F.col("ids")[0].alias("vid"), "vec", "ids")
+            .orderBy(F.col("ids")[0])
+            .select("corpus", F.monotonically_increasing_id().alias("vn"), "vec", "ids")
         )
 
     def _stats(self) -> DataFrame:
@@ -118,14 +120,14 @@ class SimilarityIndex:
         )
 
     def _plan(self, queries: DataFrame) -> DataFrame:
-        """``(qid, corpus, theta, lead, rest)``.
+        """``(qn, qid, corpus, theta, lead, rest, rest_best)``, a short number ``qn`` per query.
 
         ``lead`` holds the terms that may start a candidate with the least weight a posting needs,
         ``rest`` the terms that only add to candidates found otherwise.
         """
         best = (
             queries.select("qid", "corpus", F.explode("slots").alias("s"))
-            .join(self.stats, F.col("s.tid") == F.col("tid"))
+            .join(self._stats(), F.col("s.tid") == F.col("tid"))
             .select(
                 "qid",
                 "corpus",
@@ -135,6 +137,7 @@ class SimilarityIndex:
                     F.col("s.w").alias("w"),
                     (F.col("s.w") * F.col("w_kth")).alias("sure"),
                     F.col("w_max").alias("w_max"),
+                    F.col("n_vectors").alias("n_vectors"),
                 ).alias("s"),
             )
             .groupBy("qid", "corpus")
@@ -162,6 +165,7 @@ class SimilarityIndex:
                     x["w"].alias("w"),
                     x["w_max"].alias("w_max"),
                     x["best"].alias("best"),
+                    x["n_vectors"].alias("n_vectors"),
                     ((F.col("theta") - (F.col("all_best") - x["best"])) / x["w"]).alias("need"),
                     (total(F.slice(F.col("s"), i + 1, F.size("s"))) >= F.col("theta")).alias("leads"),
                 ),
@@ -169,6 +173,7 @@ class SimilarityIndex:
         )
         rest = F.filter("s", lambda x: ~x["leads"])
         return marked.select(
+            F.monotonically_increasing_id().alias("qn"),
             "qid",
             "corpus",
             "theta",
@@ -177,70 +182,70 @@ class SimilarityIndex:
             total(rest).alias("rest_best"),
         )
 
-    def _cells(self, leads: DataFrame) -> DataFrame:
-        """Terms whose list is long on either side: ``(tid, p_split, q_split)``.
+    def _cells(self, leads: DataFrame) -> DataFrame | None:
+        """Terms whose list is long on either side: ``(tid, p_split, q_split)``, None when none is.
 
         At most (postings / cell_postings + query terms / cell_queries) rows can exist.
         """
         p = self.params
-        asked = leads.groupBy("tid").agg(F.count(F.lit(1)).alias("n_queries"))
-        return (
-            self.stats.join(asked, "tid")
-            .select(
-                "tid",
-                F.ceil(F.col("n_vectors") / p.cell_postings).cast("int").alias("p_split"),
-                F.ceil(F.col("n_queries") / p.cell_queries).cast("int").alias("q_split"),
-            )
-            .where((F.col("p_split") > 1) | (F.col("q_split") > 1))
+        asked = leads.groupBy("tid").agg(
+            F.count(F.lit(1)).alias("n_queries"), F.first("n_vectors").alias("n_vectors")
         )
-
-    def scores(self, queries: DataFrame) -> DataFrame:
-        """``(qid, corpus, vid, score)`` for every pair that can still reach its query's top K."""
-        plan = stage(self._plan(queries.dropDuplicates(["qid"])), "queryplan")
-        leads = plan.select("qid", "corpus", "theta", "rest_best", F.explode("lead").alias("t")).select(
-            "qid", "corpus", "theta", "rest_best", "t.tid", "t.w", "t.w_max", "t.need"
+        cells = asked.select(
+            "tid",
+            F.ceil(F.col("n_vectors") / p.cell_postings).cast("int").alias("p_split"),
+            F.ceil(F.col("n_queries") / p.cell_queries).cast("int").alias("q_split"),
+        ).where((F.col("p_split") > 1) | (F.col("q_split") > 1))
+        cells = stage(cells, "cells")
+        return None if cells.isEmpty() else cells
+
+    def scores(self, plan: DataFrame) -> DataFrame:
+        """``(qn, vn, score)`` for every pair that can still reach its query's top K.
+
+        What moves per pair is two numbers and a score; ``open`` tells whether terms are left
+        that the first join did not follow.
+        """
+        leads = plan.select("qn", (F.col("rest_best") > 0).alias("open"), F.explode("lead").alias("t")).select(
+            "qn", "open", "t.tid", "t.w", "t.w_max", "t.need", "t.n_vectors"
         )
-        cells = stage(self._cells(leads), "cells")
-        first = _grid_join(leads, self.postings.drop("corpus"), cells)
-        partial = (
-            first.groupBy("qid", "corpus", "vid")
-            .agg(
-                F.sum("part").alias("part"),
-                F.first("theta").alias("theta"),
-                F.first("rest_best").alias("rest_best"),
-            )
+        cells = self._cells(leads)
+        offered = self.postings.drop("corpus")
+        first = _plain_join(leads, offered) if cells is None else _grid_join(leads, offered, cells)
+        partial = first.groupBy("qn", "open", "vn").agg(F.sum("part").alias("part"))
+        done = partial.where(~F.col("open")).select("qn", "vn", F.col("part").alias("score"))
+        unfinished = plan.where(F.col("rest_best") > 0)
+        if unfinished.isEmpty():
+            return done
+        wanted = (
+            partial.where("open")
+            .join(unfinished.select("qn", "theta", "rest", "rest_best"), "qn")
             .where(F.col("part") + F.col("rest_best") >= F.col("theta"))
-        )
-        done = partial.where(F.col("rest_best") == 0).select("qid", "corpus", "vid", F.col("part").alias("score"))
-        open_rest = plan.where(F.col("rest_best") > 0).select("qid", F.explode("rest").alias("t"))
-        wanted = partial.where(F.col("rest_best") > 0).join(open_rest, "qid").select(
-            "qid", "corpus", "vid", "part", F.col("t.tid").alias("tid"), F.col("t.w").alias("qw")
+            .select("qn", "vn", "part", F.explode("rest").alias("t"))
+            .select("qn", "vn", "part", F.col("t.tid").alias("tid"), F.col("t.w").alias("qw"))
         )
         finished = (
-            wanted.join(self.postings.select("tid", "vid", "w"), ["tid", "vid"], "left")
-            .groupBy("qid", "corpus", "vid")
-            .agg((F.max("part") + F.coalesce(F.sum(F.col("qw") * F.col("w")), F.lit(0.0))).alias("score"))
+            wanted.join(offered.select("tid", "vn", F.col("w").alias("cw")), ["tid", "vn"], "left")
+            .groupBy("qn", "vn")
+            .agg((F.max("part") + F.coalesce(F.sum(F.col("qw") * F.col("cw")), F.lit(0.0))).alias("score"))
         )
         return done.unionByName(finished)
 
-    def top_vectors(self, queries: DataFrame) -> DataFrame:
-        best = _top(self.scores(queries), "qid", "score", "vid", self.k_max)
-        return best.where(F.col("rank") <= self.k_column()).drop("rank")
-
     def top_ids(self, queries: DataFrame) -> DataFrame:
         """``(qid, hits)``: up to K ``(rank, c_id, score)`` per distinct query."""
-        members = self.vectors.select("corpus", "vid", "ids")
+        plan = stage(self._plan(queries.dropDuplicates(["qid"])), "queryplan")
+        best = _top(self.scores(plan), "qn", "score", "vn", self.k_max)
         rows = (
-            self.top_vectors(queries)
-            .join(members, ["corpus", "vid"])
-            .select("qid", "corpus", "score", F.explode("ids").alias("c_id"))
+            best.join(self.vectors.select("vn", "corpus", "ids"), "vn")
+            .where(F.col("rank") <= self.k_column())
+            .select("qn", "corpus", "score", F.explode("ids").alias("c_id"))
         )
-        return (
-            _top(rows, "qid", "score", "c_id", self.k_max)
+        hits = (
+            _top(rows, "qn", "score", "c_id", self.k_max)
             .where(F.col("rank") <= self.k_column())
-            .groupBy("qid")
+            .groupBy("qn")
             .agg(F.sort_array(F.collect_list(F.struct("rank", "c_id", "score"))).alias("hits"))
         )
+        return hits.join(plan.select("qn", "qid"), "qn").drop("qn")
 
     def top_k(self, docs: DataFrame) -> DataFrame:
         """``(corpus, s1_id, c_id, rank, score)`` for query documents ``docs(corpus, id, text)``."""
@@ -258,8 +263,20 @@ def _band(weight: Column) -> Column:
     return F.least(F.greatest(F.floor(weight * BANDS), F.lit(0)), F.lit(BANDS - 1)).cast("int")
 
 
+def _contributions(joined: DataFrame) -> DataFrame:
+    return joined.where(F.col("cw") >= F.col("need")).select(
+        "qn", "open", "vn", (F.col("qw") * F.col("cw")).alias("part")
+    )
+
+
+def _plain_join(leads: DataFrame, postings: DataFrame) -> DataFrame:
+    """Join query terms to postings of at least the needed weight; every list is short."""
+    asked = leads.withColumnRenamed("w", "qw").repartition("tid")
+    return _contributions(asked.join(postings.withColumnRenamed("w", "cw"), "tid"))
+
+
 def _grid_join(leads: DataFrame, postings: DataFrame, cells: DataFrame) -> DataFrame:
-    """Join query terms to postings of at least the needed weight.
+    """The same join with long lists cut up.
 
     A short list is one cell. A long posting list is cut into weight bands times ``p_split`` hash
     cells and a query visits the bands its need allows; a long query list is cut into ``q_split``.
@@ -287,18 +304,15 @@ def _grid_join(leads: DataFrame, postings: DataFrame, cells: DataFrame) -> DataF
             ),
         )
         .withColumn("p_cell", F.explode(F.sequence(zero, F.col("p_split") - 1)))
-        .withColumn("q_cell", F.pmod(F.xxhash64("qid"), F.col("q_split")).cast("int"))
-        .select("tid", "band", "p_cell", "q_cell", "qid", "corpus", "theta", "rest_best", F.col("w").alias("qw"), "need")
+        .withColumn("q_cell", F.pmod(F.xxhash64("qn"), F.col("q_split")).cast("int"))
+        .select("tid", "band", "p_cell", "q_cell", "qn", "open", F.col("w").alias("qw"), "need")
     )
     offered = (
         cut(postings)
         .withColumn("band", F.when(long_list, _band(F.col("w"))).otherwise(zero))
-        .withColumn("p_cell", F.pmod(F.xxhash64("vid"), F.col("p_split")).cast("int"))
+        .withColumn("p_cell", F.pmod(F.xxhash64("vn"), F.col("p_split")).cast("int"))
         .withColumn("q_cell", F.explode(F.sequence(zero, F.col("q_split") - 1)))
-        .select("tid", "band", "p_cell", "q_cell", "vid", F.col("w").alias("cw"))
-    )
-    return (
-        asked.join(offered, ["tid", "band", "p_cell", "q_cell"])
-        .where(F.col("cw") >= F.col("need"))
-        .select("qid", "corpus", "theta", "rest_best", "vid", (F.col("qw") * F.col("cw")).alias("part"))
+        .select("tid", "band", "p_cell", "q_cell", "vn", F.col("w").alias("cw"))
     )
+    cell = ["tid", "band", "p_cell", "q_cell"]
+    return _contributions(asked.repartition(*cell).join(offered, cell))

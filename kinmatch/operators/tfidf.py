@@ -47,7 +47,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 def term_counts(texts: DataFrame, analyzer: str, key: list[str], carry: list[str]) -> DataFrame:
     """Term frequency per text. ``key`` is what ``texts`` is hashed on, so nothing moves here."""
     return (
-        texts.select(*key, *carry, F.explode(tx.terms(F.col("text"), analyzer)).alias("term"))
+        tx.explode_terms(texts, [*key, *carry], "text", analyzer)
         .groupBy(*key, *carry, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -95,11 +95,18 @@ class TermSpace:
         self.counts = stage(
             term_counts(texts, params.analyzer, ["corpus", "dg"], ["tkey", "n_fit"]).drop("dg"), "terms"
         )
-        found = stage(eligible_terms(self.counts, sizes, params), "eligible")
-        largest = found.groupBy("corpus").count().agg(F.max("count")).first()[0] or 0
-        kept = found if largest <= params.max_features else most_frequent(found, params.max_features)
-        self.vocab = stage(
-            kept.select(
+        self.vocab = self._numbered(eligible_terms(self.counts, sizes, params))
+        # a table within the limit as a whole needs no count per corpus
+        if self.vocab.count() > params.max_features:
+            largest = self.vocab.groupBy("corpus").count().agg(F.max("count")).first()[0]
+            if largest > params.max_features:
+                self.vocab = stage(most_frequent(self.vocab, params.max_features), "vocab")
+
+    @staticmethod
+    def _numbered(found: DataFrame) -> DataFrame:
+        """Add the IDF and a number per term; written at once, so the numbers stay."""
+        return stage(
+            found.select(
                 "corpus",
                 "term",
                 "df",
@@ -122,17 +129,18 @@ class TermSpace:
                 F.collect_list(F.struct("df", "term", "tid", (F.col("tf") * F.col("idf")).alias("x")))
             ).alias("raw")
         )
-        norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, t: acc + t["x"] * t["x"]))
-        return raw.withColumn("norm", norm).select(
-            *key,
-            F.transform(
+        squares = F.aggregate("raw", F.lit(0.0), lambda acc, t: acc + t["x"] * t["x"])
+
+        def over(norm: Column) -> Column:
+            return F.transform(
                 "raw",
                 lambda t: F.struct(
-                    t["tid"].alias("tid"), (t["x"] / F.col("norm")).alias("w"), t["df"].alias("df"),
-                    t["term"].alias("term"),
+                    t["tid"].alias("tid"), (t["x"] / norm).alias("w"), t["df"].alias("df"), t["term"].alias("term")
                 ),
-            ).alias("vec"),
-        )
+            )
+
+        # the norm is bound as the element of a one-element array: worked out once, not per term
+        return raw.select(*key, F.transform(F.array(F.sqrt(squares)), over)[0].alias("vec"))
 
 
 def rare_terms(vec: Column, keep: int) -> Column:

@@ -29,7 +29,7 @@ def stratified_sample(s1: DataFrame, n: int, country: str = "country", key: str
         F.col(country),
         F.when(F.col("_total") <= n, F.col("_size")).otherwise(F.round(n * F.col("_size") / F.col("_total"))).alias("_quota"),
     )
-    bucketed = s1.join(quota, country).withColumn("_bucket", spread_bucket(spread(key)))
+    bucketed = s1.join(stage(quota, "quota"), country).withColumn("_bucket", spread_bucket(spread(key)))
     return first_n(bucketed, [country], ["_bucket"], [spread(key), F.col(key)], F.col("_quota")).select(*s1.columns)
 
 

@@ -43,9 +43,9 @@ class LinkParams:
     max_features: int = 40_000
     rare_keep: int = 6
     fit_sample: int = 100_000
-    # hot posting lists are cut into cells of about this many rows
-    cell_postings: int = 262_144
-    cell_queries: int = 65_536
+    # lists of a term longer than this are cut; a cell compares at most the product of the two
+    cell_postings: int = 32_768
+    cell_queries: int = 4_096
     # training
     max_train: int = 24_000
     holdout: float = 0.2

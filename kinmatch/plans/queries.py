@@ -327,7 +327,7 @@ _TERM_ROWS = "SELECT entity_id, term, count(*) AS tf FROM (SELECT entity_id, unn
 
 def _term_rows(records: DataFrame, field: str, analyzer: str) -> DataFrame:
     return (
-        records.select("entity_id", F.explode(tx.terms(F.col(field), analyzer)).alias("term"))
+        tx.explode_terms(records, ["entity_id"], field, analyzer)
         .groupBy("entity_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

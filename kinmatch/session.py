@@ -10,12 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # text work is heavy per byte: let small exchanges keep more tasks
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # a hot key on the many side of a look-up join is split by map range at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+_made_up: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings the operators count on."""
     for key, value in _SETTINGS.items():
@@ -47,9 +52,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="kinmatch-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _made_up:
+        _made_up[application] = tempfile.mkdtemp(prefix="kinmatch-")
+    return _made_up[application]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
