@@ -52,9 +52,9 @@ class SimilarityIndex:
         self.k_max = max(k_of.values())
         self.space = tfidf.TermSpace(docs, params)
         self.vectors = stage(self._vectors(docs), "vectors")
-        self.postings = self.vectors.select("corpus", "vn", F.explode("vec").alias("t")).select(
-            "corpus", "vn", F.col("t.tid").alias("tid"), F.col("t.w").alias("w")
-        )
+        self.postings = self.vectors.select(
+            "corpus", "vn", F.size("ids").alias("n_ids"), F.explode("vec").alias("t")
+        ).select("corpus", "vn", "n_ids", F.col("t.tid").alias("tid"), F.col("t.w").alias("w"))
 
     def k_column(self) -> Column:
         field = F.substring_index("corpus", ":", 1)
@@ -87,19 +87,20 @@ class SimilarityIndex:
         )
 
     def _stats(self) -> DataFrame:
-        """Per term: number of vectors, largest weight, K-th largest weight (0 when fewer)."""
-        heavy = Window.partitionBy("tid").orderBy(F.col("w").desc())
+        """Per term: number of vectors, largest weight, weight of the K-th ID (0 when fewer)."""
+        heavy = Window.partitionBy("tid").orderBy(F.col("w").desc(), "vn")
         kth = (
             self.postings.withColumn("at", F.row_number().over(heavy))
             .where(F.col("at") <= self.k_max)
-            .groupBy("tid", "corpus")
+            .withColumn("reached", F.sum("n_ids").over(heavy.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("tid")
             .agg(
                 F.max("w").alias("w_max"),
-                F.coalesce(F.max(F.when(F.col("at") == self.k_column(), F.col("w"))), F.lit(0.0)).alias("w_kth"),
+                F.coalesce(F.max(F.when(F.col("reached") >= self.k_column(), F.col("w"))), F.lit(0.0)).alias("w_kth"),
             )
         )
         sizes = self.postings.groupBy("tid").agg(F.count(F.lit(1)).alias("n_vectors"))
-        return kth.join(sizes, "tid").drop("corpus")
+        return kth.join(sizes, "tid")
 
     # ------------------------------------------------------------------ query side
 
@@ -209,7 +210,7 @@ class SimilarityIndex:
             "qn", "open", "t.tid", "t.w", "t.w_max", "t.need", "t.n_vectors"
         )
         cells = self._cells(leads)
-        offered = self.postings.drop("corpus")
+        offered = self.postings.drop("corpus", "n_ids")
         first = _plain_join(leads, offered) if cells is None else _grid_join(leads, offered, cells)
         partial = first.groupBy("qn", "open", "vn").agg(F.sum("part").alias("part"))
         done = partial.where(~F.col("open")).select("qn", "vn", F.col("part").alias("score"))
