@@ -254,7 +254,7 @@ def normalize_country(spark, sf):
     return fx.catalog_sources(spark, sf).select("entity_id", tx.normalize_country(untidy).alias("cc"))
 
 
-@register("blocking_text", f"SELECT entity_id, {sql._BT} AS text FROM p_rec UNION ALL SELECT entity_id, {sql._BT} FROM d_rec", "p_rec", "d_rec")
+@register("blocking_text", f"SELECT entity_id, {sql.BLOCKING_TEXT} AS text FROM p_rec UNION ALL SELECT entity_id, {sql.BLOCKING_TEXT} FROM d_rec", "p_rec", "d_rec")
 def blocking_text(spark, sf):
     both = _all_records(spark, sf)
     return both.select("entity_id", tx.blocking_text(F.col("nn"), F.col("na")).alias("text"))
@@ -545,11 +545,7 @@ def _sided_sql(**columns: str) -> str:
     return "SELECT s1_id, c_id, " + ", ".join(f"round({c}, 6) AS {n}" for n, c in columns.items()) + " FROM p_sided"
 
 
-def _equal(a: str, b: str) -> str:
-    return f"(CASE WHEN {a} = {b} AND {a} <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
-
-
-register("feat_exact", _sided_sql(name_exact=_equal("nn1", "nn2"), addr_exact=_equal("na1", "na2")), "p_sided")(
+register("feat_exact", _sided_sql(name_exact=sql.equal("nn1", "nn2"), addr_exact=sql.equal("na1", "na2")), "p_sided")(
     _set_features("name_exact", "addr_exact")
 )
 register(
@@ -602,10 +598,18 @@ register(
     f"SELECT * FROM ({_token_set_sql('nn1', 'nn2', 'name_token_set')}) JOIN ({_token_set_sql('na1', 'na2', 'addr_token_set')}) USING (s1_id, c_id)",
     "p_sided",
 )(_string_features("name_token_set", "addr_token_set"))
-register("feat_partial")(_string_features("name_partial"))
+register(
+    "feat_partial",
+    "SELECT s1_id, c_id, round(partial, 6) AS name_partial FROM p_sided JOIN name_partials USING (nn1, nn2)",
+    "p_sided",
+    "name_partials",
+)(_string_features("name_partial"))
 
 
-@register("pair_features_raw")
+_ALL_FEATURES = "SELECT s1_id, c_id, " + ", ".join(f"round({f}, 6) AS {f}" for f in FEATURES) + " FROM p_features"
+
+
+@register("pair_features_raw", _ALL_FEATURES, "p_features")
 def pair_features_raw(spark, sf):
     raw = fx.catalog_sources(spark, sf)
 
@@ -626,7 +630,7 @@ def featured(spark, sf) -> DataFrame:
     return features.pair_features(pairs(spark, sf), *fx.catalog(spark, sf))
 
 
-@register("pair_features")
+@register("pair_features", _ALL_FEATURES, "p_features")
 def pair_features(spark, sf):
     return featured(spark, sf).select("s1_id", "c_id", *[r6(f) for f in FEATURES])
 
@@ -782,7 +786,7 @@ def threshold_sweep(spark, sf):
 
 @register(
     "best_threshold",
-    "SELECT threshold, round(score, 6) AS score FROM p_sweep ORDER BY p_sweep.score DESC, threshold LIMIT 1",
+    "SELECT threshold, round(score, 6) AS score FROM p_sweep ORDER BY round(p_sweep.score, 12) DESC, threshold LIMIT 1",
     "p_sweep",
 )
 def best_threshold(spark, sf):
@@ -834,17 +838,16 @@ def _rows(spark, sf) -> DataFrame:
 
 @register("check_header")
 def check_header(spark, sf):
-    """A good, a comma and a misnamed header in front of the same lines, each its own file set."""
-    body = fx.link_lines(spark, sf).select(F.col("line").alias("value"))
-    paths = []
-    for header in ("Source1_Entity_ID \tmatched_entity_ids", "source1_entity_id,matched_entity_ids", "id\tmatches"):
-        path = _path(spark, "headed")
-        body.orderBy("value").write.option("header", False).text(path)
-        head = spark.createDataFrame([(header,)], "value string").coalesce(1)
-        head.write.text(f"{path}-head")
-        paths += [f"{path}-head"]
-    lines = tables.read_lines(spark, paths)
-    return quality.check_header(tables.split_header(lines)[0])
+    """Link lists of all parts written with a good, a comma and a misnamed header."""
+    s1, _ = fx.catalog(spark, sf)
+    known = tables.truth_pairs(truth(spark, sf)).withColumn("pos", F.lit(1))
+    lists = tables.link_lists(s1, known)
+    paths = [_path(spark, "headed") for _ in range(3)]
+    tables.write_links(lists.withColumnRenamed("source1_entity_id", "Source1_Entity_ID"), paths[0])
+    lists.drop("ord").write.option("header", True).csv(paths[1])
+    tables.write_links(lists.withColumnsRenamed({"source1_entity_id": "id", "matched_entity_ids": "matches"}), paths[2])
+    headers, _ = tables.split_header(tables.read_lines(spark, paths))
+    return quality.check_header(headers).distinct()
 
 
 @register("check_malformed", "SELECT line FROM lines WHERE NOT contains(line, chr(9)) AND trim(line) <> ''", "lines")

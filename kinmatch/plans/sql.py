@@ -199,8 +199,8 @@ for _f in ("p", "d"):
     similarity(f"{_f}n", f"{_f}_rec", "nn", 18)
     similarity(f"{_f}a", f"{_f}_rec", "na", 14)
     merged(_f, f"{_f}_rec", 42, f"{_f}n_topk", f"{_f}a_topk")
-_BT = "CASE WHEN nn <> '' AND na <> '' THEN nn || ' ' || nn || ' ' || na WHEN nn <> '' THEN nn ELSE na END"
-similarity("pt", "p_rec", _BT, 20)
+BLOCKING_TEXT = "CASE WHEN nn <> '' AND na <> '' THEN nn || ' ' || nn || ' ' || na WHEN nn <> '' THEN nn ELSE na END"
+similarity("pt", "p_rec", BLOCKING_TEXT, 20)
 merged("pt", "p_rec", 30, "pt_topk", None)
 similarity("pf", "p_rec", "nn", 18, fit=300)
 similarity("pc", "p_rec", "nn", 18, terms=char_terms)
@@ -233,6 +233,26 @@ def lcs(a: str, b: str) -> str:
     )
 
 
+def partial(x: str, y: str) -> str:
+    """Best window ratio of ``x`` over ``y`` (not shorter); ``m`` holds the letter masks of ``y``."""
+    full = f"((1::BIGINT << length({x})) - 1)"
+    step = f"((v + (v & k)) | (v - (v & k))) & {full}"
+
+    def of(window: str, size: str) -> str:
+        common = f"(length({x}) - bit_count(list_reduce(list_concat([{full}], {window}), lambda v, k: {step})))"
+        return f"2.0::DOUBLE * {common} / (length({x}) + {size})"
+
+    size = f"least(length({x}), length({y}) - s)"
+    inner = f"list_transform(range(length({y})), lambda s: {of(f'm[(s + 1):(s + {size})]', size)})"
+    prefix = f"list_transform(range(1, length({x})), lambda j: {of('m[1:j]', 'j')})"
+    return f"list_max(list_concat({inner}, {prefix}))"
+
+
+def letter_masks(x: str, y: str) -> str:
+    mask = f"list_sum(list_transform(range(length({x})), lambda i: CASE WHEN substring({x}, (i + 1)::INT, 1) = c THEN 1::BIGINT << i ELSE 0::BIGINT END))::BIGINT"
+    return f"list_transform(string_split({y}, ''), lambda c: {mask})"
+
+
 def ratio(a: str, b: str, lcs_column: str) -> str:
     return f"CASE WHEN length({a}) + length({b}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * {lcs_column} / (length({a}) + length({b})) END"
 
@@ -262,6 +282,60 @@ def token_set(a: str, b: str) -> str:
     )
 
 
+cte("name_pairs", ("p_sided",), "SELECT DISTINCT nn1, nn2 FROM p_sided")
+cte(
+    "name_partials",
+    ("name_pairs",),
+    f"""SELECT nn1, nn2, max({partial('x', 'y')}) AS partial FROM (
+    SELECT *, {letter_masks('x', 'y')} AS m FROM (
+    SELECT nn1, nn2, CASE WHEN length(nn1) <= length(nn2) THEN nn1 ELSE nn2 END AS x,
+    CASE WHEN length(nn1) <= length(nn2) THEN nn2 ELSE nn1 END AS y FROM name_pairs
+    UNION ALL SELECT nn1, nn2, nn2, nn1 FROM name_pairs WHERE length(nn1) = length(nn2)))
+    GROUP BY nn1, nn2""",
+)
+
+
+def equal(a: str, b: str) -> str:
+    return f"(CASE WHEN {a} = {b} AND {a} <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+def _shared(a: str, b: str) -> str:
+    return f"len(list_intersect(list_distinct({toks(a)}), list_distinct({toks(b)})))::DOUBLE"
+
+
+# one relation per string ratio, keyed by the two texts it compares
+cte(
+    "text_pairs",
+    ("p_sided",),
+    "SELECT DISTINCT a, b FROM (SELECT nn1 AS a, nn2 AS b FROM p_sided UNION ALL SELECT na1, na2 FROM p_sided)",
+)
+cte("text_ratio", ("text_pairs",), f"SELECT a, b, {ratio('a', 'b', 'l')} AS r FROM (SELECT *, {lcs('a', 'b')} AS l FROM text_pairs)")
+cte(
+    "text_sort",
+    ("text_pairs",),
+    f"""SELECT a, b, {ratio('sa', 'sb', 'l')} AS r FROM (SELECT *, {lcs('sa', 'sb')} AS l FROM
+    (SELECT a, b, {sorted_text('a')} AS sa, {sorted_text('b')} AS sb FROM text_pairs))""",
+)
+cte(
+    "text_set",
+    ("text_pairs",),
+    f"""SELECT a, b, {token_set('a', 'b')} AS r FROM (SELECT *, {lcs('x', 'y')} AS l FROM
+    (SELECT a, b, {token_set_parts('a', 'b')} FROM text_pairs))""",
+)
+cte(
+    "p_features",
+    ("p_sided", "text_ratio", "text_sort", "text_set", "name_partials"),
+    f"""SELECT s1_id, c_id, {equal('p.nn1', 'p.nn2')} AS name_exact, {jaccard('p.nn1', 'p.nn2')} AS name_jaccard,
+    nr.r AS name_ratio, ns.r AS name_token_sort, nt.r AS name_token_set, np.partial AS name_partial,
+    {equal('na1', 'na2')} AS addr_exact, {jaccard('na1', 'na2')} AS addr_jaccard, ar.r AS addr_ratio, aset.r AS addr_token_set,
+    CASE WHEN cc1 = cc2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS country_exact,
+    abs(length(p.nn1) - length(p.nn2))::DOUBLE AS name_len_diff, abs(length(na1) - length(na2))::DOUBLE AS addr_len_diff,
+    {_shared('p.nn1', 'p.nn2')} AS common_name_tokens, {_shared('na1', 'na2')} AS common_addr_tokens, cosine AS tfidf_cosine
+    FROM p_sided p JOIN text_ratio nr ON nr.a = p.nn1 AND nr.b = p.nn2 JOIN text_ratio ar ON ar.a = na1 AND ar.b = na2
+    JOIN text_sort ns ON ns.a = p.nn1 AND ns.b = p.nn2 JOIN text_set nt ON nt.a = p.nn1 AND nt.b = p.nn2
+    JOIN text_set aset ON aset.a = na1 AND aset.b = na2 JOIN name_partials np ON np.nn1 = p.nn1 AND np.nn2 = p.nn2""",
+)
+
 # ---------------------------------------------------------------- scores, truth, evaluation
 
 cte(
