@@ -10,12 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE
-from ..sources.tables import CANDIDATE_COLUMNS, LINK_COLUMNS
+from ..sources.tables import LINK_COLUMNS
 
 EXAMPLES = 5
 
 # Rules in reporting order, and whether one fails the table.
 RULES = (
+    ("encoding", "error"),
     ("header", "error"),
     ("malformed", "error"),
     ("duplicate_rows", "error"),
@@ -33,6 +34,11 @@ def _trim(text: Column) -> Column:
     return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
+def check_encoding(lines: DataFrame) -> DataFrame:
+    """Lines that are not valid UTF-8."""
+    return lines.where(~F.is_valid_utf8("line"))
+
+
 def check_header(headers: DataFrame, expected: tuple[str, str] = LINK_COLUMNS) -> DataFrame:
     """Header lines that are not the two expected names: ``(line, problem)``."""
     names = F.transform(F.split("line", "\t"), lambda c: F.lower(_trim(c)))
@@ -141,6 +147,7 @@ def issues(
     """
     rows = parse_rows(lines)
     found = {
+        "encoding": check_encoding(lines).select(F.make_valid_utf8("line")),
         "header": check_header(headers, expected).select("problem").unionByName(check_empty(headers)),
         "malformed": check_malformed(lines).select("line"),
         "duplicate_rows": check_duplicate_rows(rows).select("s1_id"),
@@ -173,14 +180,3 @@ def validation_report(found: DataFrame, skipped: tuple[str, ...] = ()) -> DataFr
     )
     failed = F.max(((F.col("severity") == "error") & (F.col("total") > 0)).cast("int")).over(Window.partitionBy())
     return report.withColumn("verdict", F.when(failed == 1, "FAIL").otherwise("PASS"))
-
-
-__all__ = [name for name in dir() if name.startswith("check_")] + [
-    "CANDIDATE_COLUMNS",
-    "issue_examples",
-    "issues",
-    "list_summary",
-    "listed_ids",
-    "parse_rows",
-    "validation_report",
-]
