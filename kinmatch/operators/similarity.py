@@ -203,31 +203,39 @@ class SimilarityIndex:
     def scores(self, plan: DataFrame) -> DataFrame:
         """``(qn, vn, score)`` for every pair that can still reach its query's top K.
 
-        What moves per pair is two numbers and a score; ``open`` tells whether terms are left
-        that the first join did not follow.
+        What moves per pair is four numbers: query, candidate, score so far, and the two bounds of
+        the query, with which a hopeless pair is dropped right after its sum is known.
         """
-        leads = plan.select("qn", (F.col("rest_best") > 0).alias("open"), F.explode("lead").alias("t")).select(
-            "qn", "open", "t.tid", "t.w", "t.w_max", "t.need", "t.n_vectors"
+        leads = plan.select("qn", "theta", "rest_best", F.explode("lead").alias("t")).select(
+            "qn", "theta", "rest_best", "t.tid", "t.w", "t.w_max", "t.need", "t.n_vectors"
         )
         cells = self._cells(leads)
         offered = self.postings.drop("corpus", "n_ids")
         first = _plain_join(leads, offered) if cells is None else _grid_join(leads, offered, cells)
-        partial = first.groupBy("qn", "open", "vn").agg(F.sum("part").alias("part"))
-        done = partial.where(~F.col("open")).select("qn", "vn", F.col("part").alias("score"))
+        # both uses of the partial scores below are to stay one plan with one exchange: the bounds
+        # are aggregates, so no filter on them moves down, and the later join's null check is here
+        partial = (
+            first.where(F.col("qn").isNotNull())
+            .groupBy("qn", "vn")
+            .agg(F.sum("part").alias("part"), F.max("theta").alias("theta"), F.max("rest_best").alias("rest_best"))
+            .where(F.col("part") + F.col("rest_best") >= F.col("theta"))
+        )
         unfinished = plan.where(F.col("rest_best") > 0)
         if unfinished.isEmpty():
-            return done
+            return partial.select("qn", "vn", F.col("part").alias("score"))
+        done = partial.where("rest_best = 0").select("qn", "vn", F.col("part").alias("score"))
         wanted = (
-            partial.where("open")
-            .join(unfinished.select("qn", "theta", "rest", "rest_best"), "qn")
-            .where(F.col("part") + F.col("rest_best") >= F.col("theta"))
-            .select("qn", "vn", "part", F.explode("rest").alias("t"))
-            .select("qn", "vn", "part", F.col("t.tid").alias("tid"), F.col("t.w").alias("qw"))
+            partial.where("rest_best > 0")
+            .join(unfinished.select("qn", "rest"), "qn")
+            .select("qn", "vn", "part", "theta", F.explode("rest").alias("t"))
+            .select("qn", "vn", "part", "theta", F.col("t.tid").alias("tid"), F.col("t.w").alias("qw"))
         )
         finished = (
             wanted.join(offered.select("tid", "vn", F.col("w").alias("cw")), ["tid", "vn"], "left")
-            .groupBy("qn", "vn")
+            .groupBy("qn", "theta", "vn")
             .agg((F.max("part") + F.coalesce(F.sum(F.col("qw") * F.col("cw")), F.lit(0.0))).alias("score"))
+            .where(F.col("score") >= F.col("theta"))
+            .drop("theta")
         )
         return done.unionByName(finished)
 
@@ -266,7 +274,7 @@ def _band(weight: Column) -> Column:
 
 def _contributions(joined: DataFrame) -> DataFrame:
     return joined.where(F.col("cw") >= F.col("need")).select(
-        "qn", "open", "vn", (F.col("qw") * F.col("cw")).alias("part")
+        "qn", "theta", "rest_best", "vn", (F.col("qw") * F.col("cw")).alias("part")
     )
 
 
@@ -306,7 +314,7 @@ def _grid_join(leads: DataFrame, postings: DataFrame, cells: DataFrame) -> DataF
         )
         .withColumn("p_cell", F.explode(F.sequence(zero, F.col("p_split") - 1)))
         .withColumn("q_cell", F.pmod(F.xxhash64("qn"), F.col("q_split")).cast("int"))
-        .select("tid", "band", "p_cell", "q_cell", "qn", "open", F.col("w").alias("qw"), "need")
+        .select("tid", "band", "p_cell", "q_cell", "qn", "theta", "rest_best", F.col("w").alias("qw"), "need")
     )
     offered = (
         cut(postings)
