@@ -12,7 +12,8 @@ the answer:
   a candidate, and a posting too light to reach it is not joined.
 * Long posting lists are cut into weight bands and hash cells, and long query lists into hash
   cells, so no task holds a whole list of either side.
-* Top-K runs inside each task before rows move to their query.
+* The pairs of a query meet in one place, summed and ranked after a single exchange; a query that
+  may meet more than a million candidates is ranked in slices first and then over the slices' best.
 
 Scores rank after rounding to nine digits, ties by ID.
 """
@@ -28,6 +29,7 @@ from . import tfidf
 
 BANDS = 16
 SLACK = 1e-8  # wider than the rounding of scores
+SLICE = 1_000_000  # pairs of one query ranked in one task
 
 
 def ranked(score: Column) -> Column:
@@ -35,8 +37,8 @@ def ranked(score: Column) -> Column:
     return F.floor(score * 1e9 + 0.5)
 
 
-def _top(df: DataFrame, group: str, score: str, tie: str, k: int) -> DataFrame:
-    order = Window.partitionBy(group).orderBy(ranked(F.col(score)).desc(), tie)
+def _top(df: DataFrame, group: list[str], score: str, tie: str, k: int) -> DataFrame:
+    order = Window.partitionBy(*group).orderBy(ranked(F.col(score)).desc(), tie)
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -121,7 +123,7 @@ class SimilarityIndex:
         )
 
     def _plan(self, queries: DataFrame) -> DataFrame:
-        """``(qn, qid, corpus, theta, lead, rest, rest_best)``, a short number ``qn`` per query.
+        """``(qn, qid, corpus, slices, theta, lead, rest, rest_best)``, a short number ``qn`` per query.
 
         ``lead`` holds the terms that may start a candidate with the least weight a posting needs,
         ``rest`` the terms that only add to candidates found otherwise.
@@ -178,6 +180,11 @@ class SimilarityIndex:
             "qid",
             "corpus",
             "theta",
+            F.ceil(
+                F.aggregate(
+                    F.filter("s", lambda x: x["leads"]), F.lit(0).cast("long"), lambda acc, x: acc + x["n_vectors"]
+                ) / SLICE
+            ).alias("slices"),
             F.filter("s", lambda x: x["leads"]).alias("lead"),
             F.transform(rest, lambda x: F.struct(x["tid"].alias("tid"), x["w"].alias("w"))).alias("rest"),
             total(rest).alias("rest_best"),
@@ -201,13 +208,13 @@ class SimilarityIndex:
         return None if cells.isEmpty() else cells
 
     def scores(self, plan: DataFrame) -> DataFrame:
-        """``(qn, vn, score)`` for every pair that can still reach its query's top K.
+        """``(qn, vn, score)``: the best K of each slice of every query.
 
-        What moves per pair is four numbers: query, candidate, score so far, and the two bounds of
-        the query, with which a hopeless pair is dropped right after its sum is known.
+        What moves per pair is a few numbers: query, slice, candidate, score so far, and the two
+        bounds of the query, with which a hopeless pair is dropped right after its sum is known.
         """
-        leads = plan.select("qn", "theta", "rest_best", F.explode("lead").alias("t")).select(
-            "qn", "theta", "rest_best", "t.tid", "t.w", "t.w_max", "t.need", "t.n_vectors"
+        leads = plan.select("qn", "slices", "theta", "rest_best", F.explode("lead").alias("t")).select(
+            "qn", "slices", "theta", "rest_best", "t.tid", "t.w", "t.w_max", "t.need", "t.n_vectors"
         )
         cells = self._cells(leads)
         offered = self.postings.drop("corpus", "n_ids")
@@ -216,40 +223,47 @@ class SimilarityIndex:
         # are aggregates, so no filter on them moves down, and the later join's null check is here
         partial = (
             first.where(F.col("qn").isNotNull())
-            .groupBy("qn", "vn")
+            .repartition("qn", "slice")
+            .groupBy("qn", "slice", "vn")
             .agg(F.sum("part").alias("part"), F.max("theta").alias("theta"), F.max("rest_best").alias("rest_best"))
             .where(F.col("part") + F.col("rest_best") >= F.col("theta"))
         )
         unfinished = plan.where(F.col("rest_best") > 0)
         if unfinished.isEmpty():
-            return partial.select("qn", "vn", F.col("part").alias("score"))
-        done = partial.where("rest_best = 0").select("qn", "vn", F.col("part").alias("score"))
+            return self._best_of_slices(partial.withColumnRenamed("part", "score"))
+        done = partial.where("rest_best = 0").withColumnRenamed("part", "score")
         wanted = (
             partial.where("rest_best > 0")
             .join(unfinished.select("qn", "rest"), "qn")
-            .select("qn", "vn", "part", "theta", F.explode("rest").alias("t"))
-            .select("qn", "vn", "part", "theta", F.col("t.tid").alias("tid"), F.col("t.w").alias("qw"))
+            .select("qn", "slice", "vn", "part", "theta", F.explode("rest").alias("t"))
+            .select("qn", "slice", "vn", "part", "theta", F.col("t.tid").alias("tid"), F.col("t.w").alias("qw"))
         )
         finished = (
             wanted.join(offered.select("tid", "vn", F.col("w").alias("cw")), ["tid", "vn"], "left")
-            .groupBy("qn", "theta", "vn")
-            .agg((F.max("part") + F.coalesce(F.sum(F.col("qw") * F.col("cw")), F.lit(0.0))).alias("score"))
+            .repartition("qn", "slice")
+            .groupBy("qn", "slice", "vn")
+            .agg(
+                (F.max("part") + F.coalesce(F.sum(F.col("qw") * F.col("cw")), F.lit(0.0))).alias("score"),
+                F.max("theta").alias("theta"),
+            )
             .where(F.col("score") >= F.col("theta"))
-            .drop("theta")
         )
-        return done.unionByName(finished)
+        return self._best_of_slices(done).unionByName(self._best_of_slices(finished))
+
+    def _best_of_slices(self, scored: DataFrame) -> DataFrame:
+        return _top(scored, ["qn", "slice"], "score", "vn", self.k_max).select("qn", "vn", "score")
 
     def top_ids(self, queries: DataFrame) -> DataFrame:
         """``(qid, hits)``: up to K ``(rank, c_id, score)`` per distinct query."""
         plan = stage(self._plan(queries.dropDuplicates(["qid"])), "queryplan")
-        best = _top(self.scores(plan), "qn", "score", "vn", self.k_max)
+        best = _top(self.scores(plan), ["qn"], "score", "vn", self.k_max)
         rows = (
             best.join(self.vectors.select("vn", "corpus", "ids"), "vn")
             .where(F.col("rank") <= self.k_column())
             .select("qn", "corpus", "score", F.explode("ids").alias("c_id"))
         )
         hits = (
-            _top(rows, "qn", "score", "c_id", self.k_max)
+            _top(rows, ["qn"], "score", "c_id", self.k_max)
             .where(F.col("rank") <= self.k_column())
             .groupBy("qn")
             .agg(F.sort_array(F.collect_list(F.struct("rank", "c_id", "score"))).alias("hits"))
@@ -274,7 +288,12 @@ def _band(weight: Column) -> Column:
 
 def _contributions(joined: DataFrame) -> DataFrame:
     return joined.where(F.col("cw") >= F.col("need")).select(
-        "qn", "theta", "rest_best", "vn", (F.col("qw") * F.col("cw")).alias("part")
+        "qn",
+        F.pmod("vn", "slices").alias("slice"),
+        "theta",
+        "rest_best",
+        "vn",
+        (F.col("qw") * F.col("cw")).alias("part"),
     )
 
 
@@ -314,7 +333,7 @@ def _grid_join(leads: DataFrame, postings: DataFrame, cells: DataFrame) -> DataF
         )
         .withColumn("p_cell", F.explode(F.sequence(zero, F.col("p_split") - 1)))
         .withColumn("q_cell", F.pmod(F.xxhash64("qn"), F.col("q_split")).cast("int"))
-        .select("tid", "band", "p_cell", "q_cell", "qn", "theta", "rest_best", F.col("w").alias("qw"), "need")
+        .select("tid", "band", "p_cell", "q_cell", "qn", "slices", "theta", "rest_best", F.col("w").alias("qw"), "need")
     )
     offered = (
         cut(postings)
