@@ -8,7 +8,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from kinmatch.operators import blocking
+from kinmatch.operators import blocking, similarity
 from kinmatch.params import LinkParams
 
 PARAMS = LinkParams(name_k=5, addr_k=4)
@@ -84,8 +84,10 @@ def found(df):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("cells", [(32768, 4096), (3, 2)])
-def test_top_k_is_exact(spark, seed, cells):
+@pytest.mark.parametrize("cells,slices", [((32768, 4096), 1_000_000), ((3, 2), 20)])
+def test_top_k_is_exact(spark, monkeypatch, seed, cells, slices):
+    """Once with everything in one cell and slice, once with lists and queries cut into many."""
+    monkeypatch.setattr(similarity, "SLICE", slices)
     s1, s23 = make(seed, 150)
     params = replace(PARAMS, cell_postings=cells[0], cell_queries=cells[1])
     got = found(blocking.name_stream(*frames(spark, s1, s23), params))
