@@ -35,9 +35,14 @@ def first_n(df: DataFrame, group: list[str], coarse: list[str], fine: list[Colum
     """The first ``n`` rows of each group in the order (coarse..., fine...).
 
     ``n`` is an expression over the group columns. ``coarse`` columns are narrowed one after the
-    other, each inside the bucket left open by the one before.
+    other, each inside the bucket left open by the one before. Without a group the whole frame is
+    one; its cut is a single staged row, so meeting it shuffles nothing.
     """
     pending = df.withColumn("_n", n.cast("long"))
+    kept = df.columns
+    if not group:
+        group = ["_all"]
+        pending = pending.withColumn("_all", F.lit(0))
     sure: DataFrame | None = None
     for column in coarse:
         starts = bucket_starts(pending, [*group, "_n"], column)
@@ -46,14 +51,16 @@ def first_n(df: DataFrame, group: list[str], coarse: list[str], fine: list[Colum
             .select(*group, F.col(column).alias("_cut"), (F.col("_n") - F.col("_before")).alias("_left"))
         )
         cut = stage(cut, "cut")
-        placed = pending.join(cut, group, "left") if group else pending.join(F.broadcast(cut), F.lit(True), "left")
+        placed = pending.join(cut, group, "left")
         inside = placed.where(
             (F.col("_n") > 0) & (F.col("_cut").isNull() | (F.col(column) < F.col("_cut")))
-        ).select(*df.columns)
+        ).select(*kept)
         sure = inside if sure is None else sure.unionByName(inside)
-        pending = placed.where(F.col(column) == F.col("_cut")).select(*df.columns, F.col("_left").alias("_n"))
+        pending = placed.where(F.col(column) == F.col("_cut")).select(
+            *dict.fromkeys([*kept, *group]), F.col("_left").alias("_n")
+        )
     last = pending.withColumn("_rank", F.row_number().over(Window.partitionBy(*group, *coarse).orderBy(*fine)))
-    tail = last.where(F.col("_rank") <= F.col("_n")).select(*df.columns)
+    tail = last.where(F.col("_rank") <= F.col("_n")).select(*kept)
     return sure.unionByName(tail)
 
 

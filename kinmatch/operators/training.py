@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -24,11 +25,9 @@ def stratified_sample(s1: DataFrame, n: int, country: str = "country", key: str
     :func:`spread` decides. No country is sorted in one task.
     """
     sizes = s1.groupBy(country).agg(F.count(F.lit(1)).alias("_size"))
-    total = s1.agg(F.count(F.lit(1)).alias("_total"))
-    quota = sizes.join(F.broadcast(total), how="cross").select(  # one total
-        F.col(country),
-        F.when(F.col("_total") <= n, F.col("_size")).otherwise(F.round(n * F.col("_size") / F.col("_total"))).alias("_quota"),
-    )
+    total = s1.count()
+    share = F.col("_size") if total <= n else F.round(n * F.col("_size") / total)
+    quota = sizes.select(F.col(country), share.alias("_quota"))
     bucketed = s1.join(stage(quota, "quota"), country).withColumn("_bucket", spread_bucket(spread(key)))
     return first_n(bucketed, [country], ["_bucket"], [spread(key), F.col(key)], F.col("_quota")).select(*s1.columns)
 
@@ -49,9 +48,9 @@ def entity_holdout(ids: DataFrame, share: float, key: str = "s1_id") -> DataFram
 
     The split is by record, so all pairs of a record fall on one side.
     """
-    total = ids.agg(F.ceil(F.count(F.lit(1)) * share).alias("_held"))
-    bucketed = ids.select(key).join(F.broadcast(total), how="cross").withColumn("_bucket", spread_bucket(spread(key)))
-    return first_n(bucketed, [], ["_bucket"], [spread(key), F.col(key)], F.col("_held")).select(key)
+    held = math.ceil(ids.count() * share)
+    bucketed = ids.select(key).withColumn("_bucket", spread_bucket(spread(key)))
+    return first_n(bucketed, [], ["_bucket"], [spread(key), F.col(key)], F.lit(held)).select(key)
 
 
 def split_pairs(pairs: DataFrame, held: DataFrame) -> tuple[DataFrame, DataFrame]:

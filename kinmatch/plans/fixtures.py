@@ -135,5 +135,5 @@ def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         chosen = chosen.when(F.col("p_size") == size, F.array(*faulty).cast("array<string>"))
     chosen = chosen.otherwise(F.array(usual))
     return _table(spark, sf_dir, "part").select(
-        F.posexplode(chosen).alias("at", "line"), F.struct(F.col("p_partkey").alias("k")).alias("key")
-    ).select("line", F.struct(F.col("key.k").alias("k"), F.col("at").alias("at")).alias("ord"))
+        F.col("p_partkey").alias("k"), F.posexplode(chosen).alias("at", "line")
+    ).select("line", F.struct("k", "at").alias("ord"))
