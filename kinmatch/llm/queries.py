@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import simhash
+from kinmatch.llm import exact_dedup, mixing, quality, sentencepieces, simhash
 from kinmatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +27,52 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"), words=3, threshold=2)
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
+@_query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages as domains: in the given tables a text says nothing about its source."""
+    docs = table(spark, sf_dir, "documents")
+    labelled = table(spark, sf_dir, "labels").select("doc_id").join(docs.select("doc_id", F.col("lang").alias("domain")), "doc_id")
+    return mixing.mix(docs, labelled).drop("_at")
+
+
+@_query
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLES["op7_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+
+@_query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~quality.held_out())
+    scored = quality.score(docs, quality.train(docs, labels))
+    predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinmatch.llm.common import arrow_settings, components, per_batch, stage, text_or_empty
+from kinmatch.llm.exact_dedup import located
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -28,6 +29,8 @@ RADIUS = 3
 BITS = 23
 #: Generator polynomial of the binary Golay code of length 23 (fixed value).
 GOLAY = 0b101011100011
+#: Word-set fingerprints of the pipeline stage: one for each seed.
+SEEDS = 4
 #: Rows of one anchor that are compared pair by pair; larger anchors take the linear way.
 CELL_ROWS = 4096
 
@@ -55,15 +58,15 @@ def fingerprint(features: list[str], seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row: ``fp`` holds the 64 bits as a long. Null text counts as empty."""
+    """(doc_id, fp) of every row: ``fp`` holds the 64 bits as a long. Null text counts as empty; doc_id has any type that orders."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = (fingerprint(shingles(x, words)) for x in batch.column(1).to_pylist())
         fp = np.fromiter(out, dtype=np.uint64, count=batch.num_rows).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    return per_batch(slim, run, "doc_id long, fp long")
+    slim = docs.select("doc_id", text_or_empty("text").alias("text"))
+    return per_batch(slim, run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def _syndrome(values: np.ndarray) -> np.ndarray:
@@ -239,3 +242,106 @@ def grouped(prints: DataFrame, threshold: int) -> DataFrame:
     least = by_root.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = stage(by_root.join(least, "root").select("fp", "component_id"), "fingerprint-components")
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
+
+
+def word_fingerprints(docs: DataFrame, seeds: int = SEEDS) -> DataFrame:
+    """(doc_id, fps) of every row: fingerprints of the text's set of words, one for each seed."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = [list(dict.fromkeys(shingles(x, 1))) for x in batch.column(1).to_pylist()]
+        rows = [np.array([fingerprint(w, seed) for seed in range(seeds)], np.uint64).view(np.int64) for w in words]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "fps"])
+
+    slim = docs.select("doc_id", text_or_empty("text").alias("text"))
+    return per_batch(slim, run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fps array<bigint>")
+
+
+def candidate_groups(docs: DataFrame, threshold: int, seeds: int = SEEDS) -> DataFrame:
+    """(doc_id, component_id) of the rows that link with another under any seed's word fingerprint."""
+    prints = stage(word_fingerprints(docs, seeds), "word-fingerprints")
+    edges = []
+    for seed in range(seeds):
+        own = prints.select("doc_id", F.col("fps")[seed].alias("fp"))
+        nodes = stage(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "word-nodes")
+        met = links(nodes, threshold)
+        copies = own.join(nodes.where("n > 1"), "fp").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
+        of_a, of_b = (nodes.select(F.col("fp").alias(x), F.col("least").alias(f"of_{x}")) for x in "ab")
+        edges += [copies, met.join(of_a, "a").join(of_b, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))]
+    roots = components(reduce(DataFrame.unionByName, edges), "word-links")
+    return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
+
+
+def _led(similarity: float, leaders: int):
+    """Rows sorted by component and doc_id in; (doc_id, leader) out, leader null where the component has too many leaders to hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, heads = None, []
+        for batch in batches:
+            out = []
+            for component, doc_id, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if component != now:
+                    now, heads = component, []
+                row = np.array(row, np.int64)
+                for head, of_head in heads:
+                    common = len(np.intersect1d(row, of_head, assume_unique=True))
+                    if common >= similarity * (len(row) + len(of_head) - common):
+                        out.append((doc_id, head))
+                        break
+                else:
+                    if len(heads) < leaders:
+                        heads.append((doc_id, row))
+                    else:
+                        out.append((doc_id, None))
+            kind = batch.schema.field(1).type
+            columns = [pa.array([x[i] for x in out], kind) for i in range(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "leader"])
+
+    return run
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, threshold: int = 4, leaders: int = 64) -> DataFrame:
+    """(doc_id, leader) of the rows of ``docs`` that are near copies of a row that stays.
+
+    Candidates are the components of the fingerprints of word sets (single words: few edits barely
+    move them) within ``threshold`` bits under any of the seeds. In each component the smallest row
+    leads, and rows whose sets of ``words``-word shingles reach ``similarity`` (Jaccard) with a
+    leader's are its near copies; the others lead in turn. So a row goes only if a row that stays is
+    that similar, and a group costs one comparison a row and leader instead of one a pair. The first
+    leader of each component is compared in a join, which splits a hot component over tasks; what is
+    left goes through one task a component with at most ``leaders`` leaders, and rows beyond them
+    start over. Texts of fewer words are one shingle; texts without words are equal.
+    """
+    members = stage(candidate_groups(docs, threshold), "members")
+    kind = members.schema["doc_id"].dataType.simpleString()
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        digest = xxhash.xxh64_intdigest
+        rows = [np.unique(np.array([digest(s) for s in shingles(x, words)], np.uint64)).view(np.int64) for x in batch.column(2).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], ["component_id", "doc_id", "shingles"])
+
+    texts = docs.select("doc_id", text_or_empty("text").alias("text")).join(members, "doc_id").select("component_id", "doc_id", "text")
+    rest = stage(per_batch(texts, sets, f"component_id {kind}, doc_id {kind}, shingles array<bigint>"), "shingle-sets")
+    common = F.size(F.array_intersect("shingles", "of_leader"))
+    alike = common >= F.lit(similarity) * (F.size("shingles") + F.size("of_leader") - common)
+    found = [members.where("false").select("doc_id", F.col("component_id").alias("leader"))]
+    while not rest.isEmpty():
+        first = rest.groupBy("component_id").agg(F.min("doc_id").alias("leader"))
+        lead = rest.join(first, "component_id").where("doc_id = leader").select("component_id", "leader", F.col("shingles").alias("of_leader"))
+        judged = rest.join(stage(lead, "leaders"), "component_id").where("doc_id <> leader").withColumn("alike", alike)
+        judged = stage(judged.drop("of_leader"), "judged")
+        found.append(judged.where("alike").select("doc_id", "leader"))
+        others = judged.where("NOT alike").select("component_id", "doc_id", "shingles")
+        ordered = others.repartition("component_id").sortWithinPartitions("component_id", "doc_id")
+        led = stage(ordered.mapInArrow(_led(similarity, leaders), f"doc_id {kind}, leader {kind}"), "led")
+        found.append(led.where("leader IS NOT NULL"))
+        beyond = led.where("leader IS NULL").select("doc_id")
+        rest = stage(others.join(beyond, "doc_id", "left_semi"), "beyond")
+    return reduce(DataFrame.unionByName, found)
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each near copy's group."""
+    columns, docs = docs.columns, located(docs)
+    keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_at").alias("doc_id"), "text")
+    gone = stage(near_copies(keyed).select(F.col("doc_id._at").alias("_at")), "near-copies")
+    return docs.join(gone, "_at", "left_anti").select(*columns)
