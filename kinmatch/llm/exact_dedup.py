@@ -25,6 +25,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: no disk space is set aside ahead of need
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
