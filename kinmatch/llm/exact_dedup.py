@@ -99,10 +99,11 @@ def exact_duplicates(docs: DataFrame, digest_of: Callable[[Column], Column] = sh
     hits = slim.join(met_again, digest_of(F.col("text")) == F.col("_digest"))
     hits = stage(hits.select(F.col("_digest").alias("digest"), arrival.alias("arrival"), "first", "text"), "hits")
     kept = hits.where("arrival = first").select("digest", F.col("text").alias("kept_text"))
-    other = hits.where("arrival <> first").join(kept, "digest").where("text <> kept_text").select("digest").distinct()
-    other = stage(other, "digest-clashes")
+    # staged before it is made distinct, so that a hot digest's comparisons may be split over tasks
+    other = stage(hits.where("arrival <> first").join(kept, "digest").where("text <> kept_text").select("digest"), "digest-clashes")
     if other.isEmpty():
         return _rows(arrivals.join(held, "digest"))
+    other = other.distinct()
     clashing = hits.join(other, "digest", "left_semi")
     own = clashing.groupBy("digest", "text").agg(F.min("arrival").alias("first"), F.count("*").alias("n"))
     told_apart = clashing.drop("first").join(own, ["digest", "text"]).select("digest", "arrival", "first", "n")
