@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kinmatch.session import stage
 
-__all__ = ["arrow_settings", "components", "per_batch", "rows_in_order", "stage", "table", "text_or_empty"]
+__all__ = ["arrow_settings", "components", "in_batches", "per_batch", "rows_in_order", "stage", "table", "text_or_empty"]
 
 #: Rows and bytes of one Arrow batch, so that a batch of very long texts stays small in the Python worker.
 BATCH_ROWS = 1000
@@ -52,6 +53,14 @@ def rows_in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
 
 
+def in_batches(rows: Iterable[tuple], fields: list[tuple[str, pa.DataType]], size: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most ``size`` rows."""
+    names, rows = [name for name, _ in fields], iter(rows)
+    while held := list(islice(rows, size)):
+        columns = zip(*held, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) of every node in ``edges`` (a, b): root is the smallest node of its component.
 

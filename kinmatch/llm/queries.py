@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import exact_dedup, mixing, quality, sentencepieces, simhash
-from kinmatch.llm.common import table
+from kinmatch.llm import chat, exact_dedup, mixing, quality, secrets, sentencepieces, simhash, token_counts, vector_search, warc
+from kinmatch.llm.common import stage, table
+from kinmatch.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +24,40 @@ def _query(function: Query) -> Query:
     return function
 
 
+@_query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.digests(chat.render(rows.unionByName(odd)))
+
+
+ORACLES["op1_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *,
+    length(regexp_replace(role, '\\|<s>|</s>|\[INST\]|\[/INST\]', '\0-', 'g')) AS role_chars,
+    length(regexp_replace(text, '\\|<s>|</s>|\[INST\]|\[/INST\]', '\0-', 'g')) AS text_chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(role_chars + text_chars + length('<s>[INST] ') + length(' [/INST] ') + length('</s>'))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@_query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 @_query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicate_groups(table(spark, sf_dir, "documents"), words=3, threshold=2)
@@ -29,6 +65,23 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+@_query
+def op4_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = stage(vector_search.quantised(table(spark, sf_dir, "embeddings")), "quantised")
+    return vector_search.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+ORACLES["op4_vector_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+"""
+
+
 @_query
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -62,6 +115,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+@_query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc/{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), folder, least_bytes=0)
+    return warc.pages_of(warc.read(spark, folder))
+
+
 @_query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -71,6 +131,28 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@_query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.fit(secrets.transition_counts(docs)))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    return found.select(
+        "doc_id",
+        number("assign"),
+        number("access"),
+        number("hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
