@@ -133,16 +133,18 @@ def entries(spark: SparkSession, folder: str) -> DataFrame:
     splits = stage(splits, "splits")
     jumps = found.where("start IS NOT NULL").join(splits, ["file", "block"])
     jumps = stage(jumps.select("file", (F.col("start") + F.col("base")).alias("start"), (F.col("leave") + F.col("base")).alias("leave"), "block"), "jumps")
-    starts = jumps.select("file", "start", "block")
+    # file names compress so well that files' sizes say little of these tables' sizes in memory: no broadcast of them
+    jumps = jumps.hint("merge")
+    starts = jumps.select("file", "start", "block").hint("merge")
     reached = jumps.where("start = 0").select("file", "start")
     most = splits.groupBy("file").count().agg(F.max("count")).first()[0] or 0
     hops = 1
     while hops < most:  # all true entries less than ``hops`` splits along their chain are reached
         landed = reached.join(jumps, ["file", "start"]).select("file", F.col("leave").alias("start"))
         reached = stage(reached.unionByName(landed.join(starts, ["file", "start"], "left_semi")).distinct(), "reached")
-        onward = jumps.select("file", F.col("start").alias("via"), F.col("leave").alias("beyond"))
+        onward = jumps.select("file", F.col("start").alias("via"), F.col("leave").alias("beyond")).hint("merge")
         twice = jumps.withColumnRenamed("leave", "via").join(onward, ["file", "via"])
-        jumps, hops = stage(twice.select("file", "start", F.col("beyond").alias("leave"), "block"), "jumps"), hops * 2
+        jumps, hops = stage(twice.select("file", "start", F.col("beyond").alias("leave"), "block"), "jumps").hint("merge"), hops * 2
     first = reached.join(starts, ["file", "start"]).groupBy("file", "block").agg(F.min("start").alias("entry"))
     return stage(splits.join(first, ["file", "block"], "left"), "entries")
 
