@@ -31,8 +31,9 @@ BITS = 23
 GOLAY = 0b101011100011
 #: Word-set fingerprints of the pipeline stage: one for each seed.
 SEEDS = 4
-#: Rows of one anchor that are compared pair by pair; larger anchors take the linear way.
-CELL_ROWS = 4096
+#: By threshold, rows of one anchor that are compared pair by pair. Beyond that the linear way is
+#: cheaper: it makes 65 rows of each fingerprint at 2 bits, 2081 at 4.
+CELL_ROWS = {0: 4096, 2: 4096, 4: 1 << 16}
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -91,13 +92,13 @@ def offsets(threshold: int) -> tuple[np.ndarray, np.ndarray]:
     return masks, excess
 
 
-def views(threshold: int) -> list[list[int]]:
-    """The lowest bits of the blocks of each view.
+def views(threshold: int) -> list[list[tuple[int, int]]]:
+    """The blocks (lowest bit, bits) of each view; a block of fewer bits than the code is filled up with zeros.
 
-    Up to 2 bits: one view, two blocks. Beyond: two views of one block each in either half of the
-    fingerprint; of two halves one differs in at most half of the threshold.
+    Up to 2 bits: one view, two blocks. Beyond: three views of one block each, which share no bit, so
+    in one of them two fingerprints differ in at most a third of the threshold.
     """
-    return [[0, 23]] if threshold <= 2 else [[0], [32]]
+    return [[(0, 23), (23, 23)]] if threshold <= 2 else [[(0, 21)], [(21, 21)], [(42, 22)]]
 
 
 def anchors(values: np.ndarray, threshold: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -107,8 +108,8 @@ def anchors(values: np.ndarray, threshold: int) -> Iterator[tuple[int, np.ndarra
     for view, blocks in enumerate(views(threshold)):
         row = np.arange(len(values))
         anchor, over = np.zeros(len(values), np.int64), np.zeros(len(values), np.int8)
-        for low in blocks:
-            block = ((values[row] >> np.uint64(low)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        for low, bits in blocks:
+            block = ((values[row] >> np.uint64(low)) & np.uint64((1 << bits) - 1)).astype(np.int64)
             syndrome = _syndrome(block)
             total = over[:, None] + excess[syndrome]
             at, which = np.nonzero(total <= per_view)
@@ -124,7 +125,7 @@ def _sent(threshold: int):
                 part = batch.column(0).slice(start, 4096).to_numpy()
                 for view, row, anchor, home in anchors(part.view(np.uint64), threshold):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor * 2 + view), pa.array(part[row]), pa.array(home)], ["anchor", "fp", "home"]
+                        [pa.array(anchor * 4 + view), pa.array(part[row]), pa.array(home)], ["anchor", "fp", "home"]
                     )
 
     return run
@@ -174,7 +175,8 @@ def _links(threshold: int, cell_rows: int):
                 continue
             cut = int(np.searchsorted(part[0], part[0][-1]))  # the last anchor may go on
             rest, part = [x[cut:] for x in part], [x[:cut] for x in part]
-            for anchor, rows in ((part[0], part), (rest[0], rest)):
+            for rows in (part, rest):
+                anchor = rows[0]
                 if full is not None and len(anchor) and anchor[0] == full:
                     go = int(np.searchsorted(anchor, full, side="right"))
                     yield pairs(rows[1][:go], None)
@@ -196,7 +198,7 @@ def _links(threshold: int, cell_rows: int):
     return run
 
 
-def links(values: DataFrame, threshold: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
+def links(values: DataFrame, threshold: int = 2, cell_rows: int | None = None) -> DataFrame:
     """(a, b): a forest of links whose components are those of all pairs of distinct ``fp`` within ``threshold`` bits.
 
     An anchor that more than ``cell_rows`` fingerprints reach is not compared pair by pair. There two
@@ -205,6 +207,7 @@ def links(values: DataFrame, threshold: int = 2, cell_rows: int = CELL_ROWS) ->
     """
     if threshold % 2 or not 0 <= threshold <= 4:
         raise ValueError("threshold: 0, 2 or 4")
+    cell_rows = cell_rows or CELL_ROWS[threshold]
     arrow_settings(values.sparkSession)
     sent = values.select("fp").distinct().mapInArrow(_sent(threshold), "anchor long, fp long, home boolean")
     met = sent.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_links(threshold, cell_rows), "a long, b long")
