@@ -20,10 +20,14 @@ from kinmatch.llm.exact_dedup import located
 
 @dataclass(frozen=True)
 class Params:
-    """``targets``: wanted share of tokens by domain; none: present expected shares to the power ``flatten``, normalised."""
+    """``targets``: wanted share of tokens by domain; none: present expected shares to the power ``flatten``, normalised.
+
+    ``train_rows`` bounds the labelled rows that the classifier learns from (the smallest hashes of the id).
+    """
 
     targets: dict[str, float] = field(default_factory=dict)
     flatten: float = 0.5
+    train_rows: int = 20_000
     buckets: int = 1 << 13
     most_domains: int = 64
     #: A posterior weighs as many words as this at most, so long documents stay soft.
@@ -34,17 +38,20 @@ class Params:
 
 
 def _base(docs: DataFrame, params: Params) -> DataFrame:
-    """(row, doc_id, _at, n_tokens, words): words are the distinct buckets of the text's words; ``row`` is unique."""
+    """(doc_id, _at, n_tokens, words): words are the distinct buckets of the text's words."""
     words = F.array_remove(F.split(F.lower(text_or_empty("text")), r"[\x20\x09-\x0D]+"), "")
     bucket = F.array_distinct(F.transform(F.col("w"), lambda x: F.pmod(F.xxhash64(x), F.lit(params.buckets)).cast("int")))
-    split = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "_at", words.alias("w"))
-    return stage(split.select("row", "doc_id", "_at", F.size("w").cast("long").alias("n_tokens"), bucket.alias("words")), "mix-base")
+    split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_at", words.alias("w"))
+    return split.select("doc_id", "_at", F.size("w").cast("long").alias("n_tokens"), bucket.alias("words"))
 
 
-def _classifier(base: DataFrame, labelled: DataFrame, params: Params) -> tuple[list[str], list[float], DataFrame]:
+def _classifier(docs: DataFrame, labelled: DataFrame, params: Params) -> tuple[list[str], list[float], DataFrame]:
     """Domains, their log priors, and per bucket the log-likelihood of each domain (``params.buckets`` rows at most)."""
     known = labelled.where("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    seen = base.join(known, "doc_id")
+    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.train_rows).select(F.col("doc_id").alias("_id"), F.col("domain").alias("_domain"))
+    # the base of the sample carries its domain in place of the row's place
+    sample = docs.join(F.broadcast(drawn), docs.doc_id == F.col("_id")).select(F.lit(0).alias("doc_id"), "text", F.col("_domain").alias("_at"))
+    seen = stage(_base(sample, params).select(F.col("_at").alias("domain"), "words"), "mix-sample")
     sizes = seen.groupBy("domain").agg(F.count("*").alias("docs"), F.sum(F.size("words")).alias("words"))
     rows = sorted(sizes.limit(params.most_domains + 1).collect())
     if len(rows) > params.most_domains:
@@ -61,23 +68,23 @@ def _classifier(base: DataFrame, labelled: DataFrame, params: Params) -> tuple[l
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, params: Params = Params()) -> tuple[list[str], DataFrame]:
-    """The domains and (row, doc_id, _at, n_tokens, p): ``p`` sums to 1; a text without words has the prior.
+    """The domains and (doc_id, _at, n_tokens, p): ``p`` sums to 1; a text without words has the prior.
 
     Words that no labelled document has say nothing. ``labelled`` is (doc_id, domain).
     """
     base = _base(docs, params)
-    domains, priors, model = _classifier(base, labelled, params)
+    domains, priors, model = _classifier(docs, labelled, params)
     if not domains:
-        return [], base.select("row", "doc_id", "_at", "n_tokens", F.expr("cast(array() as array<double>)").alias("p"))
-    told = base.select("row", F.explode("words").alias("bucket")).join(F.broadcast(model), "bucket")
-    sums = told.groupBy("row").agg(F.count("*").alias("n"), *(F.sum(f"l{k}").alias(f"s{k}") for k in range(len(domains))))
+        return [], stage(base.select("doc_id", "_at", "n_tokens", F.expr("cast(array() as array<double>)").alias("p")), "posteriors")
+    told = base.select("doc_id", "_at", "n_tokens", F.explode_outer("words").alias("bucket")).join(F.broadcast(model), "bucket", "left")
+    sums = [F.sum(f"l{k}").alias(f"s{k}") for k in range(len(domains))]
+    told = told.groupBy("doc_id", "_at", "n_tokens").agg(F.count("l0").alias("n"), *sums)
     weight = F.least(F.col("n"), F.lit(params.evidence)) / F.col("n")
     logs = [F.coalesce(F.col(f"s{k}") * weight, F.lit(0.0)) + F.lit(prior) for k, prior in enumerate(priors)]
-    scored = base.join(sums, "row", "left").select("row", "doc_id", "_at", "n_tokens", F.array(*logs).alias("z"))
-    shifted = F.transform("z", lambda x: F.exp(x - F.array_max("z")))
-    scored = scored.withColumn("e", shifted)
+    scored = told.select("doc_id", "_at", "n_tokens", F.array(*logs).alias("z"))
+    scored = scored.withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z"))))
     total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
-    return domains, stage(scored.select("row", "doc_id", "_at", "n_tokens", F.transform("e", lambda x: x / total).alias("p")), "posteriors")
+    return domains, stage(scored.select("doc_id", "_at", "n_tokens", F.transform("e", lambda x: x / total).alias("p")), "posteriors")
 
 
 def _dot(vector: np.ndarray) -> Column:
@@ -94,28 +101,35 @@ def fit_rates(soft: DataFrame, domains: list[str], params: Params = Params()) ->
     size = len(domains)
     pairs = [(k, m) for k in range(size) for m in range(k, size)]
     n, p = F.col("n_tokens").cast("double"), F.col("p")
-    first = soft.agg(F.sum(n), *(F.sum(n * p[k]) for k in range(size)), *(F.sum(n * p[k] * p[m]) for k, m in pairs)).first()
-    total = first[0] or 0.0
-    if not total or not size:
+
+    def sums(table: DataFrame, rate: Column) -> tuple[float, np.ndarray, np.ndarray]:
+        """Tokens, tokens at these rates by domain, and the Gram matrix of the documents whose rate is not 0."""
+        moving = F.when(rate > 0, n).otherwise(0.0)
+        row = table.agg(F.sum(n), *(F.sum(n * p[k] * rate) for k in range(size)), *(F.sum(moving * p[k] * p[m]) for k, m in pairs)).first()
+        gram = np.zeros((size, size))
+        for (k, m), value in zip(pairs, row[size + 1 :], strict=True):
+            gram[k, m] = gram[m, k] = value or 0.0
+        return row[0] or 0.0, np.array(row[1 : size + 1], float), gram
+
+    total, tokens, gram = sums(soft, F.lit(1.0)) if size else (0.0, None, None)
+    if not total:
         return soft.withColumn("rate", F.lit(1.0))
-    share = np.array(first[1 : size + 1]) / total
-    gram = np.zeros((size, size))
-    for (k, m), value in zip(pairs, first[size + 1 :], strict=True):
-        gram[k, m] = gram[m, k] = value / total
+    share = tokens / total
     wanted = np.array([params.targets.get(d, 0.0) for d in domains]) if params.targets else share**params.flatten
     if wanted.min() < 0 or wanted.sum() <= 0:
         raise ValueError("targets: nonnegative, not all 0, for known domains")
     wanted = wanted / wanted.sum()
-    whiten = np.linalg.inv(gram + 1e-7 * np.trace(gram) * np.eye(size))
     rates, rate, error = soft.withColumn("rate", F.lit(1.0)), F.col("rate"), share - wanted
     for step in range(1, params.steps + 1):
         if np.abs(error).max() <= params.tolerance:
             break
+        # whitened by the documents that can move: without clipping one step meets the targets
+        whiten = np.linalg.inv(gram / total + 1e-7 * np.trace(gram) / total * np.eye(size) + 1e-12 * np.eye(size))
         rate = F.greatest(F.lit(0.0), rate - _dot(whiten @ error))
         if step % 4 == 0:  # keeps the expression short and the lineage cut
             rates, rate = stage(rates.withColumn("rate", rate), "rates"), F.col("rate")
-        sums = rates.agg(*(F.sum(n * p[k] * rate) for k in range(size))).first()
-        error = np.array(sums) / total - wanted
+        _, tokens, gram = sums(rates, rate)
+        error = tokens / total - wanted
     return rates.withColumn("rate", rate)
 
 
