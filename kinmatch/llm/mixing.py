@@ -79,7 +79,7 @@ def posteriors(docs: DataFrame, labelled: DataFrame, params: Params = Params())
     told = base.select("doc_id", "_at", "n_tokens", F.explode_outer("words").alias("bucket")).join(F.broadcast(model), "bucket", "left")
     sums = [F.sum(f"l{k}").alias(f"s{k}") for k in range(len(domains))]
     told = told.groupBy("doc_id", "_at", "n_tokens").agg(F.count("l0").alias("n"), *sums)
-    weight = F.least(F.col("n"), F.lit(params.evidence)) / F.col("n")
+    weight = F.try_divide(F.least(F.col("n"), F.lit(params.evidence)), F.col("n"))
     logs = [F.coalesce(F.col(f"s{k}") * weight, F.lit(0.0)) + F.lit(prior) for k, prior in enumerate(priors)]
     scored = told.select("doc_id", "_at", "n_tokens", F.array(*logs).alias("z"))
     scored = scored.withColumn("e", F.transform("z", lambda x: F.exp(x - F.array_max("z"))))
