@@ -126,4 +126,4 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     columns, docs = docs.columns, located(docs)
     gone = stage(exact_duplicates(docs).where("NOT kept").select("_at"), "dropped")
-    return docs.join(gone, "_at", "left_anti").select(*columns)
+    return docs.join(gone.hint("merge"), "_at", "left_anti").select(*columns)  # its size has no bound: no broadcast

@@ -158,5 +158,5 @@ def mixed(docs: DataFrame, labelled: DataFrame, params: Params = Params()) -> Da
     """``docs`` with each row as often as its copies say, with all its columns."""
     columns, docs = docs.columns, located(docs)
     drawn = stage(mix(docs, labelled, params).select("_at", "copies"), "copies")
-    again = docs.join(drawn, "_at").where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    again = docs.join(drawn.hint("merge"), "_at").where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return again.select(*columns)

@@ -199,7 +199,8 @@ def _links(threshold: int, cell_rows: int):
 
 
 def links(values: DataFrame, threshold: int = 2, cell_rows: int | None = None) -> DataFrame:
-    """(a, b): a forest of links whose components are those of all pairs of distinct ``fp`` within ``threshold`` bits.
+    """(a, b): a forest of links whose components are those of all pairs of ``fp`` within ``threshold`` bits.
+    ``values`` should hold each ``fp`` once; repeats only cost time.
 
     An anchor that more than ``cell_rows`` fingerprints reach is not compared pair by pair. There two
     fingerprints link exactly if some word lies within half of the threshold of both, so each one is
@@ -209,7 +210,7 @@ def links(values: DataFrame, threshold: int = 2, cell_rows: int | None = None) -
         raise ValueError("threshold: 0, 2 or 4")
     cell_rows = cell_rows or CELL_ROWS[threshold]
     arrow_settings(values.sparkSession)
-    sent = values.select("fp").distinct().mapInArrow(_sent(threshold), "anchor long, fp long, home boolean")
+    sent = values.select("fp").mapInArrow(_sent(threshold), "anchor long, fp long, home boolean")
     met = sent.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_links(threshold, cell_rows), "a long, b long")
     met = stage(met, "anchor-links")
     found, hot = met.where("b IS NOT NULL"), met.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
@@ -347,4 +348,4 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     columns, docs = docs.columns, located(docs)
     keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_at").alias("doc_id"), "text")
     gone = stage(near_copies(keyed).select(F.col("doc_id._at").alias("_at")), "near-copies")
-    return docs.join(gone, "_at", "left_anti").select(*columns)
+    return docs.join(gone.hint("merge"), "_at", "left_anti").select(*columns)  # its size has no bound: no broadcast
