@@ -9,6 +9,7 @@ at the anchor where either of them lives, so only the rows of one anchor are com
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
@@ -31,6 +32,8 @@ BITS = 23
 GOLAY = 0b101011100011
 #: Word-set fingerprints of the pipeline stage: one for each seed.
 SEEDS = 4
+#: Word-set fingerprints of all seeds go through the same jobs: this many groups fit beside an anchor.
+GROUPS = 16
 #: By threshold, rows of one anchor that are compared pair by pair. Beyond that the linear way is
 #: cheaper: it makes 65 rows of each fingerprint at 2 bits, 2081 at 4.
 CELL_ROWS = {0: 4096, 2: 4096, 4: 1 << 16}
@@ -122,19 +125,18 @@ def _sent(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
-                part = batch.column(0).slice(start, 4096).to_numpy()
+                group, part = (c.slice(start, 4096).to_numpy() for c in batch.columns)
                 for view, row, anchor, home in anchors(part.view(np.uint64), threshold):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor * 4 + view), pa.array(part[row]), pa.array(home)], ["anchor", "fp", "home"]
-                    )
+                    key = (anchor * 4 + view) * GROUPS + group[row]
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row]), pa.array(home)], ["anchor", "fp", "home"])
 
     return run
 
 
-def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among the rows of each anchor as a spanning forest; rows come sorted by anchor."""
+def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, a, b): links among the rows of each anchor as a spanning forest; rows come sorted by anchor."""
     values = fp.view(np.uint64)
-    left, right = [], []
+    at, left, right = [], [], []
     starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     sizes = np.diff(np.r_[starts, len(anchor)])
     small = sizes <= 64
@@ -144,6 +146,7 @@ def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold:
         alive = alive[alive + step < ends[alive]]
         near = np.bitwise_count(values[alive] ^ values[alive + step]) <= threshold
         hit = alive[near & (home[alive] | home[alive + step])]
+        at.append(anchor[hit])
         left.append(fp[hit])
         right.append(fp[hit + step])
     for start, size in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
@@ -154,18 +157,20 @@ def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold:
             groups, first = np.unique(label[near], return_index=True)
             if len(groups) > 1:
                 others = near[first[groups != label[i]]]
+                at.append(np.full(len(others), anchor[start]))
                 left.append(np.full(len(others), cell[i]).view(np.int64))
                 right.append(cell[others].view(np.int64))
                 label[np.isin(label, groups)] = groups[0]
     none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
+    return tuple(np.concatenate(x or [none]) for x in (at, left, right))
 
 
 def _links(threshold: int, cell_rows: int):
-    """Rows sorted by anchor in; (a, b) out, or (fp, null) for each row of an anchor beyond ``cell_rows``."""
+    """Rows sorted by anchor in; (group, a, b) out, or (group, fp, null) for each row of an anchor beyond ``cell_rows``."""
 
-    def pairs(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)], ["a", "b"])
+    def pairs(anchor: np.ndarray, a: np.ndarray, b: np.ndarray | None = None) -> pa.RecordBatch:
+        columns = [pa.array(anchor % GROUPS), pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)]
+        return pa.RecordBatch.from_arrays(columns, ["group", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, full = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)], None
@@ -179,16 +184,16 @@ def _links(threshold: int, cell_rows: int):
                 anchor = rows[0]
                 if full is not None and len(anchor) and anchor[0] == full:
                     go = int(np.searchsorted(anchor, full, side="right"))
-                    yield pairs(rows[1][:go], None)
+                    yield pairs(anchor[:go], rows[1][:go])
                     rows[:] = [x[go:] for x in rows]
             sizes = np.diff(np.r_[np.flatnonzero(np.r_[True, part[0][1:] != part[0][:-1]]), len(part[0])]) if len(part[0]) else []
             large = np.repeat(np.asarray(sizes) > cell_rows, sizes) if len(part[0]) else np.zeros(0, bool)
             if large.any():
-                yield pairs(part[1][large], None)
+                yield pairs(part[0][large], part[1][large])
                 part = [x[~large] for x in part]
             if len(rest[0]) > cell_rows:
                 full = int(rest[0][0])
-                yield pairs(rest[1], None)
+                yield pairs(rest[0], rest[1])
                 rest = [x[:0] for x in rest]
             if len(part[0]) > 1:
                 yield pairs(*_cell_links(*part, threshold))
@@ -199,8 +204,10 @@ def _links(threshold: int, cell_rows: int):
 
 
 def links(values: DataFrame, threshold: int = 2, cell_rows: int | None = None) -> DataFrame:
-    """(a, b): a forest of links whose components are those of all pairs of ``fp`` within ``threshold`` bits.
-    ``values`` should hold each ``fp`` once; repeats only cost time.
+    """(group, a, b): a forest of links whose components are those of all pairs of ``fp`` within ``threshold`` bits.
+
+    Fingerprints link inside their ``group`` (below ``GROUPS``; 0 where ``values`` has no such column).
+    ``values`` should hold each ``fp`` of a group once; repeats only cost time.
 
     An anchor that more than ``cell_rows`` fingerprints reach is not compared pair by pair. There two
     fingerprints link exactly if some word lies within half of the threshold of both, so each one is
@@ -210,19 +217,21 @@ def links(values: DataFrame, threshold: int = 2, cell_rows: int | None = None) -
         raise ValueError("threshold: 0, 2 or 4")
     cell_rows = cell_rows or CELL_ROWS[threshold]
     arrow_settings(values.sparkSession)
-    sent = values.select("fp").mapInArrow(_sent(threshold), "anchor long, fp long, home boolean")
-    met = sent.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_links(threshold, cell_rows), "a long, b long")
-    met = stage(met, "anchor-links")
-    found, hot = met.where("b IS NOT NULL"), met.where("b IS NULL").select(F.col("a").alias("fp")).distinct()
+    group = F.col("group").cast("long") if "group" in values.columns else F.lit(0).cast("long")
+    sent = values.select(group.alias("group"), "fp").mapInArrow(_sent(threshold), "anchor long, fp long, home boolean")
+    ordered = sent.repartition("anchor").sortWithinPartitions("anchor")
+    met = stage(ordered.mapInArrow(_links(threshold, cell_rows), "group long, a long, b long"), "anchor-links")
+    found, hot = met.where("b IS NOT NULL"), met.where("b IS NULL").select("group", F.col("a").alias("fp")).distinct()
     if hot.isEmpty():
         return found
     half = threshold // 2
     balls = [0, *(sum(1 << i for i in c) for n in range(1, half + 1) for c in combinations(range(64), n))]
     masks = F.array(*(F.lit(x - (1 << 64) if x >> 63 else x) for x in balls))
-    words = hot.select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("word"))
-    words = stage(words, "shared-words")
-    least = words.groupBy("word").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return found.unionByName(words.join(least, "word").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct())
+    words = hot.select("group", "fp", F.explode(masks).alias("mask"))
+    words = stage(words.select("group", "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("word")), "shared-words")
+    least = words.groupBy("group", "word").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
+    shared = words.join(least, ["group", "word"]).where("fp <> b").select("group", F.col("fp").alias("a"), "b").distinct()
+    return found.unionByName(shared)
 
 
 def near_duplicate_groups(docs: DataFrame, words: int = 3, threshold: int = 2) -> DataFrame:
@@ -261,41 +270,61 @@ def word_fingerprints(docs: DataFrame, seeds: int = SEEDS) -> DataFrame:
 
 
 def candidate_groups(docs: DataFrame, threshold: int, seeds: int = SEEDS) -> DataFrame:
-    """(doc_id, component_id) of the rows that link with another under any seed's word fingerprint."""
-    prints = stage(word_fingerprints(docs, seeds), "word-fingerprints")
-    edges = []
-    for seed in range(seeds):
-        own = prints.select("doc_id", F.col("fps")[seed].alias("fp"))
-        nodes = stage(own.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "word-nodes")
-        met = links(nodes, threshold)
-        copies = own.join(nodes.where("n > 1"), "fp").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-        of_a, of_b = (nodes.select(F.col("fp").alias(x), F.col("least").alias(f"of_{x}")) for x in "ab")
-        edges += [copies, met.join(of_a, "a").join(of_b, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))]
-    roots = components(reduce(DataFrame.unionByName, edges), "word-links")
-    return roots.select(F.col("node").alias("doc_id"), F.col("root").alias("component_id"))
-
-
-def _led(similarity: float, leaders: int):
-    """Rows sorted by component and doc_id in; (doc_id, leader) out, leader null where the component has too many leaders to hold."""
+    """(doc_id, component_id) of the rows that link with another under any seed's word fingerprint.
+
+    Inside, a row is a number given once when the fingerprints are written; ``component_id`` is such a number.
+    """
+    if seeds > GROUPS:
+        raise ValueError(f"seeds: {GROUPS} at most")
+    prints = stage(word_fingerprints(docs, seeds).withColumn("row", F.monotonically_increasing_id()), "word-fingerprints")
+    own = prints.select("row", F.posexplode("fps").alias("group", "fp"))
+    nodes = own.groupBy(F.col("group").cast("long").alias("group"), "fp").agg(F.min("row").alias("least"), F.count("*").alias("n"))
+    nodes = stage(nodes, "word-nodes")
+    copies = own.join(nodes.where("n > 1"), ["group", "fp"]).select(F.col("row").alias("a"), F.col("least").alias("b"))
+    of_a, of_b = (nodes.select("group", F.col("fp").alias(x), F.col("least").alias(f"of_{x}")) for x in "ab")
+    met = links(nodes, threshold).join(of_a, ["group", "a"]).join(of_b, ["group", "b"])
+    edges = copies.unionByName(met.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    roots = components(edges, "word-links")
+    return prints.join(roots, prints.row == roots.node).select("doc_id", F.col("root").alias("component_id"))
+
+
+def _led(similarity: float, held: int):
+    """Rows sorted by component and doc_id in; (doc_id, leader) out, leader null where the component's leaders hold more shingles than fit.
+
+    Leaders are found through the prefix of their sorted set: sets that similar share one of the
+    first n - ceil(similarity x n) + 1 shingles, so a row only meets leaders that share one of its own.
+    """
+
+    def prefix(row: np.ndarray) -> list:
+        return row[: len(row) - math.ceil(similarity * len(row) - 1e-9) + 1].tolist() or [None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, heads = None, []
+        now, heads, at, room = None, [], {}, held
         for batch in batches:
-            out = []
-            for component, doc_id, row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out, sets = [], batch.column(2)
+            ends, values = sets.offsets.to_pylist(), sets.values.to_numpy()
+            for i, (component, doc_id) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True)):
                 if component != now:
-                    now, heads = component, []
-                row = np.array(row, np.int64)
-                for head, of_head in heads:
+                    now, heads, at, room = component, [], {}, held
+                row = values[ends[i] : ends[i + 1]]
+                keys = prefix(row)
+                for head in sorted({h for key in keys for h in at.get(key, ())}):
+                    leader, of_head = heads[head]
+                    if min(len(row), len(of_head)) < similarity * max(len(row), len(of_head)):
+                        continue
                     common = len(np.intersect1d(row, of_head, assume_unique=True))
                     if common >= similarity * (len(row) + len(of_head) - common):
-                        out.append((doc_id, head))
+                        out.append((doc_id, leader))
                         break
                 else:
-                    if len(heads) < leaders:
-                        heads.append((doc_id, row))
-                    else:
+                    if heads and room < len(row) + 1:
                         out.append((doc_id, None))
+                        room = 0  # later rows may be like this one: none of them leads now
+                        continue
+                    room -= len(row) + 1
+                    for key in keys:
+                        at.setdefault(key, []).append(len(heads))
+                    heads.append((doc_id, row.copy()))
             kind = batch.schema.field(1).type
             columns = [pa.array([x[i] for x in out], kind) for i in range(2)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "leader"])
@@ -303,7 +332,7 @@ def _led(similarity: float, leaders: int):
     return run
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, threshold: int = 4, leaders: int = 64) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, threshold: int = 4, held: int = 1 << 21) -> DataFrame:
     """(doc_id, leader) of the rows of ``docs`` that are near copies of a row that stays.
 
     Candidates are the components of the fingerprints of word sets (single words: few edits barely
@@ -312,8 +341,8 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, thresh
     leader's are its near copies; the others lead in turn. So a row goes only if a row that stays is
     that similar, and a group costs one comparison a row and leader instead of one a pair. The first
     leader of each component is compared in a join, which splits a hot component over tasks; what is
-    left goes through one task a component with at most ``leaders`` leaders, and rows beyond them
-    start over. Texts of fewer words are one shingle; texts without words are equal.
+    left goes through one task a component, where leaders of at most ``held`` shingles together are
+    indexed by their prefixes; rows that find no room start over. Texts of fewer words are one shingle; texts without words are equal.
     """
     members = stage(candidate_groups(docs, threshold), "members")
     kind = members.schema["doc_id"].dataType.simpleString()
@@ -324,19 +353,21 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, thresh
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], ["component_id", "doc_id", "shingles"])
 
     texts = docs.select("doc_id", text_or_empty("text").alias("text")).join(members, "doc_id").select("component_id", "doc_id", "text")
-    rest = stage(per_batch(texts, sets, f"component_id {kind}, doc_id {kind}, shingles array<bigint>"), "shingle-sets")
+    rest = stage(per_batch(texts, sets, f"component_id long, doc_id {kind}, shingles array<bigint>"), "shingle-sets")
     common = F.size(F.array_intersect("shingles", "of_leader"))
     alike = common >= F.lit(similarity) * (F.size("shingles") + F.size("of_leader") - common)
-    found = [members.where("false").select("doc_id", F.col("component_id").alias("leader"))]
+    found = [members.where("false").select("doc_id", F.col("doc_id").alias("leader"))]
     while not rest.isEmpty():
         first = rest.groupBy("component_id").agg(F.min("doc_id").alias("leader"))
         lead = rest.join(first, "component_id").where("doc_id = leader").select("component_id", "leader", F.col("shingles").alias("of_leader"))
         judged = rest.join(stage(lead, "leaders"), "component_id").where("doc_id <> leader").withColumn("alike", alike)
-        judged = stage(judged.drop("of_leader"), "judged")
+        # the sets of near copies are not needed again
+        judged = judged.select("component_id", "doc_id", "leader", "alike", F.when(~F.col("alike"), F.col("shingles")).alias("shingles"))
+        judged = stage(judged, "judged")
         found.append(judged.where("alike").select("doc_id", "leader"))
         others = judged.where("NOT alike").select("component_id", "doc_id", "shingles")
         ordered = others.repartition("component_id").sortWithinPartitions("component_id", "doc_id")
-        led = stage(ordered.mapInArrow(_led(similarity, leaders), f"doc_id {kind}, leader {kind}"), "led")
+        led = stage(ordered.mapInArrow(_led(similarity, held), f"doc_id {kind}, leader {kind}"), "led")
         found.append(led.where("leader IS NOT NULL"))
         beyond = led.where("leader IS NULL").select("doc_id")
         rest = stage(others.join(beyond, "doc_id", "left_semi"), "beyond")

@@ -16,7 +16,7 @@ def test_leaders_beyond_the_bound_start_over(spark):
     # one component of texts that are all unlike each other
     rows = [(i, " ".join(f"{'ab'[i >> b & 1]}{b}" for b in range(6))) for i in range(30)] + [(40, " ".join(f"a{b}" for b in range(6)))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    gone = sorted(r.doc_id for r in simhash.near_copies(docs, leaders=2).collect())
+    gone = sorted(r.doc_id for r in simhash.near_copies(docs, held=20).collect())
     assert gone == [40]
 
 
