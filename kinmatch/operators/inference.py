@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import LinkParams
+from ..session import stage
 from ..sources import tables
 from . import blocking, features
 from .ranking import row_range
@@ -30,7 +31,7 @@ def apply_threshold(scored: DataFrame, threshold: float) -> DataFrame:
 
 def match(s1: DataFrame, s23: DataFrame, matcher: Matcher, params: LinkParams = LinkParams()) -> tuple[DataFrame, DataFrame]:
     """``(candidate pairs, linked pairs)`` of every source-1 record, all countries in one run."""
-    pairs = blocking.block(s1, s23, params)
+    pairs = stage(blocking.block(s1, s23, params), "pairs")  # both results hang on it
     scored = score(matcher.model, features.pair_features(pairs, s1, s23))
     return pairs, apply_threshold(scored, matcher.threshold)
 

@@ -26,8 +26,10 @@ def fit_sample(docs: DataFrame, n: int, group: str = "corpus", key: str = "id")
     return first_n(bucketed, [group], ["_bucket"], [spread(key), F.col(key)], F.lit(n)).drop("_bucket")
 
 
-def _flag_fit(docs: DataFrame, n: int) -> DataFrame:
-    """Mark the documents the fit may see; only corpora above ``n`` need a sample at all."""
+def _flag_fit(docs: DataFrame, n: int | None) -> DataFrame:
+    """Mark the documents the fit may see: all without ``n``, else at most ``n`` of a corpus."""
+    if n is None:
+        return docs.withColumn("in_fit", F.lit(1))
     largest = docs.groupBy("corpus").count().agg(F.max("count")).first()[0] or 0
     if largest <= n:
         return docs.withColumn("in_fit", F.lit(1))
@@ -54,11 +56,12 @@ def term_counts(texts: DataFrame, analyzer: str, key: list[str], carry: list[str
 
 
 def vocabulary(counts: DataFrame, corpus_sizes: DataFrame, params: LinkParams) -> DataFrame:
-    """Terms inside the document-frequency limits, the most frequent ``max_features`` of a corpus.
+    """Terms inside the document-frequency limits: all, or the most frequent ``max_features`` of a corpus.
 
     Ties in frequency fall in the repeatable order of :func:`spread`.
     """
-    return most_frequent(eligible_terms(counts, corpus_sizes, params), params.max_features)
+    found = eligible_terms(counts, corpus_sizes, params)
+    return found if params.max_features is None else most_frequent(found, params.max_features)
 
 
 def eligible_terms(counts: DataFrame, corpus_sizes: DataFrame, params: LinkParams) -> DataFrame:
@@ -97,7 +100,7 @@ class TermSpace:
         )
         self.vocab = self._numbered(eligible_terms(self.counts, sizes, params))
         # a table within the limit as a whole needs no count per corpus
-        if self.vocab.count() > params.max_features:
+        if params.max_features is not None and self.vocab.count() > params.max_features:
             largest = self.vocab.groupBy("corpus").count().agg(F.max("count")).first()[0]
             if largest > params.max_features:
                 self.vocab = stage(most_frequent(self.vocab, params.max_features), "vocab")

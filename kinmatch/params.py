@@ -40,9 +40,9 @@ class LinkParams:
     analyzer: str = "word"  # "word" (unigrams and bigrams) or "char" (trigrams inside words)
     min_df: int = 2
     max_df: float = 0.1
-    max_features: int = 40_000
+    max_features: int | None = None  # terms of a corpus, the most frequent first; None: all
     rare_keep: int = 6
-    fit_sample: int = 100_000
+    fit_sample: int | None = None  # documents of a corpus that the fit sees; None: all
     # lists of a term longer than this are cut; a cell compares at most the product of the two
     cell_postings: int = 32_768
     cell_queries: int = 4_096

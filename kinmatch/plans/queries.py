@@ -170,9 +170,9 @@ def link_parts(spark, sf):
 
 
 def _repeated_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Many rows per record, some records without any: returned items as part rows."""
+    """Many rows per record: ordered items as part rows."""
     s1, _ = fx.catalog(spark, sf)
-    parts = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_returnflag = 'R'").select(
+    parts = spark.read.parquet(f"{sf}/lineitem.parquet").select(
         F.format_string("S1-%d", "l_partkey").alias("source1_entity_id"),
         F.format_string("S2-%d", "l_suppkey").alias("matched_entity_ids"),
         # the row's own text settles equal positions
@@ -186,7 +186,7 @@ def _repeated_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     """SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS matched_entity_ids, (ids IS NOT NULL)::INT AS found
     FROM p_rec LEFT JOIN (SELECT sid, ids FROM (SELECT 'S1-' || l_partkey AS sid, 'S2-' || l_suppkey AS ids,
     row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 100 + l_linenumber DESC, l_suppkey DESC) AS rn
-    FROM lineitem WHERE l_returnflag = 'R') WHERE rn = 1) ON sid = entity_id WHERE src = 1""",
+    FROM lineitem) WHERE rn = 1) ON sid = entity_id WHERE src = 1""",
     "p_rec",
 )
 def merge_parts(spark, sf):
@@ -196,17 +196,17 @@ def merge_parts(spark, sf):
 @register(
     "merge_parts_missing",
     """SELECT entity_id AS source1_entity_id FROM p_rec WHERE src = 1 AND entity_id NOT IN
-    (SELECT 'S1-' || p_partkey FROM part WHERE p_type IN ('PROMO', 'ECONOMY'))""",
+    (SELECT 'S1-' || s_suppkey FROM supplier)""",
     "p_rec",
 )
 def merge_parts_missing(spark, sf):
     s1, _ = fx.catalog(spark, sf)
-    parts = spark.read.parquet(f"{sf}/part.parquet").where("p_type in ('PROMO', 'ECONOMY')").select(
-        F.format_string("S1-%d", "p_partkey").alias("source1_entity_id"),
+    parts = spark.read.parquet(f"{sf}/supplier.parquet").select(
+        F.format_string("S1-%d", "s_suppkey").alias("source1_entity_id"),
         F.lit("").alias("matched_entity_ids"),
-        "p_type",
+        F.col("s_nationkey").alias("part_id"),
     )
-    return tables.missing_parts(tables.merge_parts(s1, parts.withColumnRenamed("p_type", "part_id")))
+    return tables.missing_parts(tables.merge_parts(s1, parts))
 
 
 @register("merge_complete", "SELECT * FROM p_lists", "p_lists")
@@ -285,13 +285,13 @@ def source_from_prefix(spark, sf):
 @register(
     "s1_semi_sample",
     """SELECT entity_id, nn, cc FROM p_rec WHERE src = 1 AND entity_id IN
-    (SELECT 'S1-' || l_partkey FROM lineitem WHERE l_quantity >= 45)""",
+    (SELECT 'S1-' || s_suppkey FROM supplier)""",
     "p_rec",
 )
 def s1_semi_sample(spark, sf):
     s1, _ = fx.catalog(spark, sf)
-    wanted = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity >= 45")
-    ids = wanted.select(F.format_string("S1-%d", "l_partkey").alias("entity_id"))
+    suppliers = spark.read.parquet(f"{sf}/supplier.parquet")
+    ids = suppliers.select(F.format_string("S1-%d", "s_suppkey").alias("entity_id"))
     return training.semi_sample(s1, ids).select("entity_id", "nn", "cc")
 
 
@@ -339,9 +339,10 @@ def tokens_ngrams(spark, sf):
     return _term_rows(records, "t", "word")
 
 
-@register("char_trigrams", _TERM_ROWS.format(terms=sql.char_terms("nn"), rec="d_rec"), "d_rec")
+@register("char_trigrams", _TERM_ROWS.format(terms=sql.char_terms("nn || ' ' || na"), rec="d_rec"), "d_rec")
 def char_trigrams(spark, sf):
-    return _term_rows(fx.normalized(fx.document_sources(spark, sf)), "nn", "char")
+    records = fx.normalized(fx.document_sources(spark, sf)).withColumn("t", F.concat_ws(" ", "nn", "na"))
+    return _term_rows(records, "t", "char")
 
 
 @register("fit_sample", "SELECT cc, id FROM pf_fit", "pf_fit")
@@ -474,6 +475,17 @@ def exact_name(spark, sf):
     return one.unionByName(blocking.exact_names(*fx.document_records(spark, sf), PARAMS.cap))
 
 
+_GROUPS = """SELECT entity_id, src, cc, sha256(nn) AS name_group, namesakes FROM (SELECT *,
+    count(*) FILTER (src > 1) OVER (PARTITION BY cc, nn) AS namesakes, count(*) FILTER (src = 1) OVER (PARTITION BY cc, nn) AS n_s1
+    FROM {rec} WHERE nn <> '') WHERE namesakes > 0 AND n_s1 > 0"""
+
+
+@register("exact_name_groups", f"{_GROUPS.format(rec='p_rec')} UNION ALL {_GROUPS.format(rec='d_rec')}", "p_rec", "d_rec")
+def exact_name_groups(spark, sf):
+    one = blocking.exact_name_groups(*fx.catalog(spark, sf))
+    return one.unionByName(blocking.exact_name_groups(*fx.document_records(spark, sf)))
+
+
 @register(
     "candidates_merged",
     "SELECT s1_id, c_id, pos::INT AS pos, via_exact::INT AS via_exact FROM d_pairs",
@@ -821,8 +833,7 @@ def match_slice(spark, sf):
 def rescore(spark, sf):
     s1, s23 = fx.catalog(spark, sf)
     lists = tables.candidate_lists(s1, pairs(spark, sf)).drop("ord")
-    part = s1.where("cc = 'france'")
-    return tables.link_lists(part, inference.rescore(lists, part, s23, _matcher(spark, sf))).drop("ord")
+    return tables.link_lists(s1, inference.rescore(lists, s1, s23, _matcher(spark, sf))).drop("ord")
 
 
 # ---------------------------------------------------------------- checks of ID lists
