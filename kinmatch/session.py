@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,14 +61,57 @@ def shared_folder(spark: SparkSession) -> str:
     return _made_up[application]
 
 
+#: Shuffle files of a write are of no use once its rows are in the shared folder.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The lineage ends in the written files, so a lost executor costs no recomputation, and the
     optimiser knows the true size: small tables are broadcast by the engine's own size check and
-    large ones are not.
+    large ones are not. The table lives until the :func:`scratch` around it ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = scratch_path(spark, f"stage/{name}")
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the :func:`scratch` around it ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (held := _scratch.get()) is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside when the block ends; no DataFrame over it may be used after."""
+    token = _scratch.set(held := [])
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in held:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Stage the rows of ``make()`` and delete what was staged on the way to them."""
+    outer = _scratch.get()
+    with scratch(spark):
+        df = make()
+        inner = _scratch.set(outer)  # the result itself belongs to the block around
+        try:
+            return stage(df, name)
+        finally:
+            _scratch.reset(inner)
