@@ -9,7 +9,6 @@ digest was met before is checked byte by byte against the text at the kept locat
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinmatch.llm.common import stage, text_or_empty
-from kinmatch.session import shared_folder
+from kinmatch.session import scratch_path, settled
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -88,12 +87,12 @@ def exact_duplicates(docs: DataFrame, digest_of: Callable[[Column], Column] = sh
     text = normalised("text")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), "_at")
     arrival = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_at")
-    folder = f"{shared_folder(spark)}/stage/arrivals-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "stage/arrivals")
     slim.select(digest_of(F.col("text")).alias("digest"), arrival.alias("arrival")).write.parquet(folder)
     arrivals = spark.read.parquet(folder)
     if arrivals.isEmpty():
         return _rows(arrivals.select("digest", "arrival", F.col("arrival").alias("first"), F.lit(1).cast("long").alias("n")))
-    held = stage(_state_of(arrivals, folder, f"{shared_folder(spark)}/dedup-state/{uuid.uuid4().hex}"), "held")
+    held = stage(_state_of(arrivals, folder, scratch_path(spark, "dedup-state/run")), "held")
 
     met_again = held.where("n > 1").withColumnRenamed("digest", "_digest")
     hits = slim.join(met_again, digest_of(F.col("text")) == F.col("_digest"))
@@ -125,5 +124,5 @@ def _rows(found: DataFrame) -> DataFrame:
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     columns, docs = docs.columns, located(docs)
-    gone = stage(exact_duplicates(docs).where("NOT kept").select("_at"), "dropped")
+    gone = settled(docs.sparkSession, "dropped", lambda: exact_duplicates(docs).where("NOT kept").select("_at"))
     return docs.join(gone.hint("merge"), "_at", "left_anti").select(*columns)  # its size has no bound: no broadcast

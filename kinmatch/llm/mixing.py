@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kinmatch.llm.common import stage, text_or_empty
 from kinmatch.llm.exact_dedup import located
+from kinmatch.session import settled
 
 
 @dataclass(frozen=True)
@@ -157,6 +158,6 @@ def mix(docs: DataFrame, labelled: DataFrame, params: Params = Params()) -> Data
 def mixed(docs: DataFrame, labelled: DataFrame, params: Params = Params()) -> DataFrame:
     """``docs`` with each row as often as its copies say, with all its columns."""
     columns, docs = docs.columns, located(docs)
-    drawn = stage(mix(docs, labelled, params).select("_at", "copies"), "copies")
+    drawn = settled(docs.sparkSession, "copies", lambda: mix(docs, labelled, params).select("_at", "copies"))
     again = docs.join(drawn.hint("merge"), "_at").where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return again.select(*columns)

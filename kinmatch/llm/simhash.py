@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from kinmatch.llm.common import arrow_settings, components, per_batch, stage, text_or_empty
 from kinmatch.llm.exact_dedup import located
+from kinmatch.session import settled
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -344,7 +345,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, thresh
     left goes through one task a component, where leaders of at most ``held`` shingles together are
     indexed by their prefixes; rows that find no room start over. Texts of fewer words are one shingle; texts without words are equal.
     """
-    members = stage(candidate_groups(docs, threshold), "members")
+    members = settled(docs.sparkSession, "members", lambda: candidate_groups(docs, threshold))
     kind = members.schema["doc_id"].dataType.simpleString()
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -378,5 +379,5 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each near copy's group."""
     columns, docs = docs.columns, located(docs)
     keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_at").alias("doc_id"), "text")
-    gone = stage(near_copies(keyed).select(F.col("doc_id._at").alias("_at")), "near-copies")
+    gone = settled(docs.sparkSession, "near-copies", lambda: near_copies(keyed).select(F.col("doc_id._at").alias("_at")))
     return docs.join(gone.hint("merge"), "_at", "left_anti").select(*columns)  # its size has no bound: no broadcast
