@@ -7,6 +7,7 @@ position at a time for all pairs together. Everything that is set or arithmetic
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 WORD_BITS = 64
 VECTOR_LIMIT = 256  # characters of the bit-vector side; longer pairs go one by one
 PARTIAL_CELLS = 4_000_000  # window rows x characters handled at once
+BATCH_CELLS = 1_000_000  # pairs x longest text handled at once
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +99,8 @@ def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
             small.append(i)
     # pairs of like size together, so that no short pair waits for a long one
     small.sort(key=lambda i: (min(len(left[i]), len(right[i])) // WORD_BITS, max(len(left[i]), len(right[i]))))
-    for start in range(0, len(small), 2048):
-        rows = small[start : start + 2048]
+    for cut in _cuts([max(len(left[i]), len(right[i])) for i in small], 2048, BATCH_CELLS):
+        rows = small[cut]
         short = [min(left[i], right[i], key=len) for i in rows]
         long = [right[i] if short[j] is left[i] else left[i] for j, i in enumerate(rows)]
         grid, _ = _codes(short)
@@ -141,25 +143,52 @@ def _windows_best(short: list[str], long: list[str]) -> np.ndarray:
     return best
 
 
-def _partial_big(short: str, long: str) -> float:
-    """One long pair: the same walk over windows, one start at a time."""
+def _steps(short: str, text: str) -> Iterator[int]:
+    """LCS length of ``short`` with every prefix of ``text``."""
     where: dict[str, int] = {}
     for at, char in enumerate(short):
         where[char] = where.get(char, 0) | (1 << at)
-    m, full, best = len(short), (1 << len(short)) - 1, 0.0
-    for start in range(len(long)):
-        size = min(m, len(long) - start)
-        if 2.0 * size / (m + size) <= best:
+    full = state = (1 << len(short)) - 1
+    for char in text:
+        met = state & where.get(char, 0)
+        state = ((state + met) | (state - met)) & full
+        yield len(short) - state.bit_count()
+
+
+def _partial_big(short: str, long: str) -> float:
+    """One long pair. Prefixes and suffixes take one walk each, the windows between only where they can win.
+
+    A window one further shares at most one character more, so between two known windows no other
+    shares more than half of the sum of both lengths and the distance; the best such gap is halved first.
+    """
+    m, last = len(short), len(long) - len(short)
+    ends = [list(_steps(short, long[:m])), list(_steps(short[::-1], long[::-1][:m]))]
+    best = max(2.0 * met / (m + size) for walk in ends for size, met in enumerate(walk, 1))
+    gaps = [(-((ends[0][-1] + ends[1][-1] + last) // 2), 0, last, ends[0][-1], ends[1][-1])]
+    while gaps:
+        bound, lo, hi, at_lo, at_hi = heapq.heappop(gaps)
+        if hi - lo < 2 or -bound / m <= best:  # 2 x bound / 2m
             continue
-        state = full
-        for step in range(size):
-            met = state & where.get(long[start + step], 0)
-            state = ((state + met) | (state - met)) & full
-            if start == 0 or step + 1 == size:
-                best = max(best, 2.0 * (m - state.bit_count()) / (m + step + 1))
+        mid = (lo + hi) // 2
+        *_, at_mid = _steps(short, long[mid : mid + m])
+        best = max(best, at_mid / m)
+        for x in ((lo, mid, at_lo, at_mid), (mid, hi, at_mid, at_hi)):
+            heapq.heappush(gaps, (-((x[2] + x[3] + x[1] - x[0]) // 2), *x))
     return best
 
 
+def _cuts(sizes: list[int], rows: int, cells: int) -> Iterator[slice]:
+    """Slices of at most ``rows`` texts whose padded grid has at most ``cells`` cells (or one text)."""
+    start, width = 0, 0
+    for i, size in enumerate(sizes):
+        width = max(width, size)
+        if i > start and (i - start >= rows or (i - start + 1) * width > cells):
+            yield slice(start, i)
+            start, width = i, size
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 def partial_ratios(left: list[str], right: list[str]) -> np.ndarray:
     """Best ratio of the shorter text over all windows of the longer one, 0..1."""
     out = np.zeros(len(left))
@@ -179,8 +208,8 @@ def partial_ratios(left: list[str], right: list[str]) -> np.ndarray:
             else:
                 jobs.append((i, x, y))
     jobs.sort(key=lambda job: (len(job[1]) // 8, len(job[2])))
-    for start in range(0, len(jobs), 1024):
-        part = jobs[start : start + 1024]
+    for cut in _cuts([len(long) for _, _, long in jobs], 1024, BATCH_CELLS):
+        part = jobs[cut]
         np.maximum.at(out, [i for i, _, _ in part], _windows_best([x for _, x, _ in part], [y for _, _, y in part]))
     return out
 
@@ -191,18 +220,19 @@ def _distinct(left: pd.Series, right: pd.Series) -> tuple[list[str], list[str],
     return [a for a, _ in pairs], [b for _, b in pairs], codes
 
 
+# plain Series functions, so that all scores of a pair share one exchange with Python
+
+
 @F.pandas_udf(T.IntegerType())
-def lcs_length(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in batches:
-        a, b, codes = _distinct(left, right)
-        yield pd.Series(lcs_lengths(a, b)[codes].astype(np.int32))
+def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
+    a, b, codes = _distinct(left, right)
+    return pd.Series(lcs_lengths(a, b)[codes].astype(np.int32))
 
 
 @F.pandas_udf(T.DoubleType())
-def partial_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for left, right in batches:
-        a, b, codes = _distinct(left, right)
-        yield pd.Series(partial_ratios(a, b)[codes])
+def partial_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+    a, b, codes = _distinct(left, right)
+    return pd.Series(partial_ratios(a, b)[codes])
 
 
 def register(spark: SparkSession) -> None:
@@ -215,7 +245,3 @@ def ratio_of(left: Column, right: Column, lcs: Column) -> Column:
     """Indel ratio 0..1 from an LCS length; two empty texts are equal."""
     size = F.length(left) + F.length(right)
     return F.when(size == 0, 1.0).otherwise(2.0 * lcs / size)
-
-
-def indel_ratio(left: Column, right: Column) -> Column:
-    return ratio_of(left, right, lcs_length(left, right))

@@ -1,7 +1,7 @@
 """The 16 similarity columns of a pair, over already normalised fields.
 
 Input: ``nn1, na1, cc1, nn2, na2, cc2`` and ``cosine``. Set and length features are plain column
-expressions; only LCS length and best-window ratio leave the JVM, all in one Arrow exchange.
+expressions; only LCS length and best-window ratio leave the JVM, all in one Arrow exchange (one plan node).
 """
 
 from __future__ import annotations

@@ -18,6 +18,9 @@ _SETTINGS = {
     # a hot key on the many side of a look-up join is split by map range at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Arrow batches are bounded by rows and by bytes, however long the texts are
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
 }
 
 

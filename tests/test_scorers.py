@@ -77,6 +77,32 @@ def test_partial_of_long_texts():
     np.testing.assert_allclose(scorers.partial_ratios(a, b), [partial(x, y) for x, y in zip(a, b)], atol=1e-12)
 
 
+def test_partial_of_long_texts_with_a_planted_window():
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    short = text(260)
+    a = [short, text(258)]
+    b = [text(25) + short[:120] + "x" + short[130:] + text(20), text(258)]
+    np.testing.assert_allclose(scorers.partial_ratios(a, b), [partial(x, y) for x, y in zip(a, b)], atol=1e-12)
+
+
+def test_batches_are_cut_by_cells():
+    sizes = [3, 4, 5, 900, 50_000, 2_000_000]
+    cuts = list(scorers._cuts(sizes, 2, 60_000))
+    assert [i for c in cuts for i in range(c.start, c.stop)] == list(range(len(sizes)))
+    assert all(c.stop - c.start == 1 or (c.stop - c.start) * max(sizes[c]) <= 60_000 for c in cuts)
+    a, b = random_pairs(40, (5, 200), 12)
+    a, b = a + ["short"] * 2, b + ["s h o r t " * 20_000, "abc" * 50_000]
+    for x, y, got in zip(a[-2:], b[-2:], scorers.lcs_lengths(a, b)[-2:]):
+        assert got == lcs(x, y)
+
+
+def test_one_exchange_with_python(spark):
+    pairs = spark.createDataFrame([("a b", "b a", "c", "c d")], "nn1 string, nn2 string, na1 string, na2 string")
+    plan = features.string_scores(pairs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 GOLDEN = [
     ("kitten", "sitting", 0.615385, 0.615385, 0.615385, 0.666667),
     ("abc hosp 2", "abc hosp", 0.888889, 0.888889, 1, 1),
