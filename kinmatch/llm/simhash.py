@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinmatch.llm.common import arrow_settings, components, per_batch, stage, text_or_empty
@@ -31,10 +31,13 @@ RADIUS = 3
 BITS = 23
 #: Generator polynomial of the binary Golay code of length 23 (fixed value).
 GOLAY = 0b101011100011
-#: Word-set fingerprints of the pipeline stage: one for each seed.
-SEEDS = 4
-#: Word-set fingerprints of all seeds go through the same jobs: this many groups fit beside an anchor.
+#: Groups of fingerprints that fit beside an anchor.
 GROUPS = 16
+#: The order of shingles is taken from about so many rows, and so many common shingles at most; it changes no result.
+ORDER_ROWS = 20000
+ORDER_SHINGLES = 1 << 18
+#: Rounds of one comparison a node before all open pairs of a cell are compared.
+ROUNDS = 3
 #: By threshold, rows of one anchor that are compared pair by pair. Beyond that the linear way is
 #: cheaper: it makes 65 rows of each fingerprint at 2 bits, 2081 at 4.
 CELL_ROWS = {0: 4096, 2: 4096, 4: 1 << 16}
@@ -258,34 +261,124 @@ def grouped(prints: DataFrame, threshold: int) -> DataFrame:
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def word_fingerprints(docs: DataFrame, seeds: int = SEEDS) -> DataFrame:
-    """(doc_id, fps) of every row: fingerprints of the text's set of words, one for each seed."""
+def _shingle_set(text: str, words: int) -> np.ndarray:
+    """XXH64 of the text's distinct shingles, ascending."""
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(x) for x in shingles(text, words)], np.uint64)).view(np.int64)
+
+
+def _known_common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur often, ascending, and how often, counted in a part of the rows.
+
+    They only say in which order sets are cut to prefixes; any order gives the same pairs.
+    """
+    rows = docs.count()
+    part = docs.select(text_or_empty("text").alias("text"))
+    if rows > ORDER_ROWS:
+        part = part.where(F.pmod(F.xxhash64("text"), F.lit(rows // ORDER_ROWS + 1)) == 0)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [_shingle_set(x, words) for x in batch.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], ["shingle"])
+
+    counts = per_batch(part, run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 2")
+    top = counts.orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toArrow()
+    shingle, n = (top.column(i).to_numpy() for i in range(2))
+    order = np.argsort(shingle)
+    return shingle[order], n[order]
+
+
+def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(doc_id, key, n, prefix) of every row: a digest and the size of its set of shingles, and the rarest of them.
+
+    Two sets that reach ``similarity`` share one of the first n - ceil(similarity x n) + 1 of each in
+    any order common to all sets.
+    """
+    common, often = _known_common(docs, words)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [list(dict.fromkeys(shingles(x, 1))) for x in batch.column(1).to_pylist()]
-        rows = [np.array([fingerprint(w, seed) for seed in range(seeds)], np.uint64).view(np.int64) for w in words]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["doc_id", "fps"])
+        keys, sizes, prefixes = [], [], []
+        for text in batch.column(1).to_pylist():
+            row = _shingle_set(text, words)
+            keys.append(xxhash.xxh3_128_digest(row.tobytes()))
+            sizes.append(len(row))
+            rank = np.zeros(len(row), np.int64)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, row), len(common) - 1)
+                rank = np.where(common[at] == row, often[at], 0)
+            prefixes.append(row[np.lexsort((row, rank))[: len(row) - math.ceil(similarity * len(row) - 1e-9) + 1]])
+        arrays = [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n", "prefix"])
 
     slim = docs.select("doc_id", text_or_empty("text").alias("text"))
-    return per_batch(slim, run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, fps array<bigint>")
+    return per_batch(slim, run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, key binary, n int, prefix array<bigint>")
 
 
-def candidate_groups(docs: DataFrame, threshold: int, seeds: int = SEEDS) -> DataFrame:
-    """(doc_id, component_id) of the rows that link with another under any seed's word fingerprint.
+def near_links(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(prints, links): ``prints`` numbers the rows (doc_id, row); links (a, b) of row numbers have the components of all pairs that reach ``similarity``.
 
-    Inside, a row is a number given once when the fingerprints are written; ``component_id`` is such a number.
+    The pairs are those whose sets of ``words``-word shingles have that Jaccard similarity, and none is
+    missed: rows meet in the cells of their prefixes' shingles. Equal sets are one node. First every
+    node is compared with one other node of its cells, in a few rounds, which joins large groups at
+    the cost of one comparison a node and round. Then all pairs of a cell that are not joined yet are
+    compared, so a pair is left out only where a chain of links already joins it.
     """
-    if seeds > GROUPS:
-        raise ValueError(f"seeds: {GROUPS} at most")
-    prints = stage(word_fingerprints(docs, seeds).withColumn("row", F.monotonically_increasing_id()), "word-fingerprints")
-    own = prints.select("row", F.posexplode("fps").alias("group", "fp"))
-    nodes = own.groupBy(F.col("group").cast("long").alias("group"), "fp").agg(F.min("row").alias("least"), F.count("*").alias("n"))
-    nodes = stage(nodes, "word-nodes")
-    copies = own.join(nodes.where("n > 1"), ["group", "fp"]).select(F.col("row").alias("a"), F.col("least").alias("b"))
-    of_a, of_b = (nodes.select("group", F.col("fp").alias(x), F.col("least").alias(f"of_{x}")) for x in "ab")
-    met = links(nodes, threshold).join(of_a, ["group", "a"]).join(of_b, ["group", "b"])
-    edges = copies.unionByName(met.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
-    roots = components(edges, "word-links")
+    prints = stage(_prefixes(docs, words, similarity).withColumn("row", F.monotonically_increasing_id()), "prefixes")
+    nodes = stage(prints.groupBy("key").agg(F.min("row").alias("node")), "set-nodes")
+    equal = prints.select("key", "row").join(nodes, "key").where("row <> node").select(F.col("row").alias("a"), F.col("node").alias("b"))
+    of_nodes = prints.join(nodes.select("node"), F.col("row") == F.col("node"))
+    sent = of_nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
+    in_cell = Window.partitionBy("shingle")
+    cells = stage(sent.withColumn("rows", F.count("*").over(in_cell)).where("rows > 1").drop("rows"), "cells")
+    texts = docs.select("doc_id", text_or_empty("text").alias("text")).join(prints.select("doc_id", "row"), "doc_id")
+    texts = texts.join(cells.select(F.col("node").alias("row")).distinct(), "row").select("row", "text")
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [_shingle_set(x, words) for x in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["row", "shingles"])
+
+    held = stage(per_batch(texts, sets, "row long, shingles array<bigint>"), "shingle-sets")
+    of_a, of_b = (held.select(F.col("row").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    alike = common >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - common)
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return stage(pairs.join(of_a, "a").join(of_b, "b").where(alike).select("a", "b"), "near-links")
+
+    found, placed = [], cells.withColumn("root", F.col("node"))
+    for number in range(rounds):
+        # the same node is the centre of most cells of a group, and another one in each round
+        order = F.struct(F.xxhash64(F.lit(number), "node").alias("h"), "node", "root")
+        centres = placed.groupBy("shingle").agg(F.min(order).alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+        centres = centres.where("low < high").select("shingle", F.col("c.node").alias("b"), F.col("c.root").alias("of_centre"))
+        offered = placed.join(centres, "shingle").where("root <> of_centre").groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
+        pairs = stage(offered.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b"), "offered")
+        new = checked(pairs)
+        found.append(new)
+        if new.isEmpty():
+            break
+        roots = components(reduce(DataFrame.unionByName, found), "near-roots")
+        placed = stage(cells.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed-cells")
+    # rows outside the root with the most rows of their cell meet all rows of other roots
+    sizes = placed.groupBy("shingle", "root").agg(F.count("*").alias("rows"))
+    main = sizes.groupBy("shingle").agg(F.max(F.struct("rows", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
+    open_cells = stage(placed.join(main.select("shingle", F.col("m.root").alias("main")), "shingle"), "open-cells")
+    left = open_cells.where("root <> main").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "pos", "root")))
+    right = open_cells.select("shingle", "main", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos", "root")))
+    once = "root_a <> root_b AND (root_b = main OR node_a < node_b)"
+    sized = F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b") - 1e-9
+    # what the sets can still share from this shingle on, if it is the first they share
+    reach = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= F.lit(similarity / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) - 1e-6
+    met = left.join(right, "shingle").where(F.expr(once) & sized & reach)
+    pairs = stage(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "cell-pairs")
+    found.append(checked(pairs))
+    return prints.select("doc_id", "row"), reduce(DataFrame.unionByName, found).unionByName(equal)
+
+
+def candidate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) of the rows that reach ``similarity`` with another, by what links of such pairs reach; ``component_id`` is a row number."""
+    prints, found = near_links(docs, words, similarity)
+    roots = components(found, "near-groups")
     return prints.join(roots, prints.row == roots.node).select("doc_id", F.col("root").alias("component_id"))
 
 
@@ -333,11 +426,10 @@ def _led(similarity: float, held: int):
     return run
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, threshold: int = 4, held: int = 1 << 21) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, held: int = 1 << 21) -> DataFrame:
     """(doc_id, leader) of the rows of ``docs`` that are near copies of a row that stays.
 
-    Candidates are the components of the fingerprints of word sets (single words: few edits barely
-    move them) within ``threshold`` bits under any of the seeds. In each component the smallest row
+    Candidates are the components of :func:`near_links`. In each component the smallest row
     leads, and rows whose sets of ``words``-word shingles reach ``similarity`` (Jaccard) with a
     leader's are its near copies; the others lead in turn. So a row goes only if a row that stays is
     that similar, and a group costs one comparison a row and leader instead of one a pair. The first
@@ -345,7 +437,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, thresh
     left goes through one task a component, where leaders of at most ``held`` shingles together are
     indexed by their prefixes; rows that find no room start over. Texts of fewer words are one shingle; texts without words are equal.
     """
-    members = settled(docs.sparkSession, "members", lambda: candidate_groups(docs, threshold))
+    members = settled(docs.sparkSession, "members", lambda: candidate_groups(docs, words, similarity))
     kind = members.schema["doc_id"].dataType.simpleString()
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -1,0 +1,50 @@
+import random
+
+from kinmatch.llm import simhash
+from kinmatch.llm.common import components
+
+
+def jaccard(a, b):
+    a, b = (set(simhash.shingles(x, 5)) for x in (a, b))
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edited_copies(seed=7):
+    """Bases of 80 to 1000 words, each with copies that had a passage appended, a block deleted and words changed."""
+    rng, rows = random.Random(seed), []
+    for i in range(60):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([80, 150, 300, 1000]))]
+        share = rng.uniform(0.03, 0.24)
+        extra, at = int(len(base) * share), rng.randrange(len(base) // 2)
+        scattered = [f"e{rng.random()}" if rng.random() < share / 9 else w for w in base]
+        rows += [base, base + [f"w{rng.randrange(3000)}" for _ in range(extra)], base[:at] + base[at + int(len(base) * share * 0.8) :], scattered]
+    return [(i, " ".join(x)) for i, x in enumerate(rows)]
+
+
+def test_every_pair_at_the_similarity_is_joined(spark):
+    rows = edited_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.candidate_groups(docs).collect()}
+    near = [(a, b) for i, (a, x) in enumerate(rows) for b, y in rows[i + 1 : i + 4] if jaccard(x, y) >= 0.8]
+    assert len(near) > 100
+    assert [p for p in near if got.get(p[0], "none") != got.get(p[1], "other")] == []
+
+
+def test_links_against_brute_force_with_a_common_passage(spark):
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = []
+    for i in range(90):
+        own = [f"v{rng.randrange(50)}" for _ in range(rng.randrange(1, 14))]
+        rows.append((i, " ".join(own[:4]) + " " + passage + " " + " ".join(own[4:])))
+    rows += [(90, None), (91, ""), (92, "p0"), (93, "P0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    links = {(a, b) for a, x in rows for b, y in rows if a < b and jaccard(x or "", y or "") >= 0.8}
+    want = {r.node: r.root for r in components(spark.createDataFrame(list(links), "a long, b long"), "t").collect()}
+    for rounds in (0, 3):
+        prints, found = simhash.near_links(docs, rounds=rounds)
+        of = {r.row: r.doc_id for r in prints.collect()}
+        pairs = {tuple(sorted((of[r.a], of[r.b]))) for r in found.collect()}
+        assert pairs <= links
+        got = {r.node: r.root for r in components(spark.createDataFrame(list(pairs), "a long, b long"), "t").collect()}
+        assert got == want
