@@ -36,7 +36,7 @@ GROUPS = 16
 #: The order of shingles is taken from about so many rows, and so many common shingles at most; it changes no result.
 ORDER_ROWS = 20000
 ORDER_SHINGLES = 1 << 18
-#: Rounds of one comparison a node before all open pairs of a cell are compared.
+#: Rounds of comparisons with centres before all open pairs of a cell are compared.
 ROUNDS = 3
 #: By threshold, rows of one anchor that are compared pair by pair. Beyond that the linear way is
 #: cheaper: it makes 65 rows of each fingerprint at 2 bits, 2081 at 4.
@@ -319,8 +319,8 @@ def near_links(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds:
 
     The pairs are those whose sets of ``words``-word shingles have that Jaccard similarity, and none is
     missed: rows meet in the cells of their prefixes' shingles. Equal sets are one node. First every
-    node is compared with one other node of its cells, in a few rounds, which joins large groups at
-    the cost of one comparison a node and round. Then all pairs of a cell that are not joined yet are
+    node is compared with one centre of its cells, then one pair of each two groups that meet at a
+    centre, in a few rounds, which joins large groups at few comparisons a node. Then all pairs of a cell that are not joined yet are
     compared, so a pair is left out only where a chain of links already joins it.
     """
     prints = stage(_prefixes(docs, words, similarity).withColumn("row", F.monotonically_increasing_id()), "prefixes")
@@ -347,12 +347,18 @@ def near_links(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds:
 
     found, placed = [], cells.withColumn("root", F.col("node"))
     for number in range(rounds):
-        # the same node is the centre of most cells of a group, and another one in each round
+        # the same node is the centre of most cells of a group, and another one in each round; sizes
+        # that differ by more than the similarity never match, so a cell has a centre by size
+        banded = placed.withColumn("band", F.floor(F.log(F.col("n") + 1.0) / -math.log(similarity) + number / rounds))
         order = F.struct(F.xxhash64(F.lit(number), "node").alias("h"), "node", "root")
-        centres = placed.groupBy("shingle").agg(F.min(order).alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
-        centres = centres.where("low < high").select("shingle", F.col("c.node").alias("b"), F.col("c.root").alias("of_centre"))
-        offered = placed.join(centres, "shingle").where("root <> of_centre").groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
-        pairs = stage(offered.groupBy("a").agg(F.max(F.struct("n", "b")).alias("m")).select("a", "m.b"), "offered")
+        centres = banded.groupBy("shingle", "band").agg(F.min(order).alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
+        centres = centres.where("low < high").select("shingle", "band", F.col("c.node").alias("b"), F.col("c.root").alias("of_centre"))
+        offered = banded.join(centres, ["shingle", "band"]).where("root <> of_centre")
+        offered = offered.groupBy("root", "of_centre", F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
+        # then one pair for each two groups that meet at a centre
+        by = ["root", "of_centre"] if number else ["a"]
+        best = offered.groupBy(*by).agg(F.max(F.struct("n", "a", "b")).alias("m"))
+        pairs = stage(best.select("m.a", "m.b").distinct(), "offered")
         new = checked(pairs)
         found.append(new)
         if new.isEmpty():
@@ -382,89 +388,17 @@ def candidate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -
     return prints.join(roots, prints.row == roots.node).select("doc_id", F.col("root").alias("component_id"))
 
 
-def _led(similarity: float, held: int):
-    """Rows sorted by component and doc_id in; (doc_id, leader) out, leader null where the component's leaders hold more shingles than fit.
-
-    Leaders are found through the prefix of their sorted set: sets that similar share one of the
-    first n - ceil(similarity x n) + 1 shingles, so a row only meets leaders that share one of its own.
-    """
-
-    def prefix(row: np.ndarray) -> list:
-        return row[: len(row) - math.ceil(similarity * len(row) - 1e-9) + 1].tolist() or [None]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, heads, at, room = None, [], {}, held
-        for batch in batches:
-            out, sets = [], batch.column(2)
-            ends, values = sets.offsets.to_pylist(), sets.values.to_numpy()
-            for i, (component, doc_id) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True)):
-                if component != now:
-                    now, heads, at, room = component, [], {}, held
-                row = values[ends[i] : ends[i + 1]]
-                keys = prefix(row)
-                for head in sorted({h for key in keys for h in at.get(key, ())}):
-                    leader, of_head = heads[head]
-                    if min(len(row), len(of_head)) < similarity * max(len(row), len(of_head)):
-                        continue
-                    common = len(np.intersect1d(row, of_head, assume_unique=True))
-                    if common >= similarity * (len(row) + len(of_head) - common):
-                        out.append((doc_id, leader))
-                        break
-                else:
-                    if heads and room < len(row) + 1:
-                        out.append((doc_id, None))
-                        room = 0  # later rows may be like this one: none of them leads now
-                        continue
-                    room -= len(row) + 1
-                    for key in keys:
-                        at.setdefault(key, []).append(len(heads))
-                    heads.append((doc_id, row.copy()))
-            kind = batch.schema.field(1).type
-            columns = [pa.array([x[i] for x in out], kind) for i in range(2)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "leader"])
-
-    return run
-
-
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, held: int = 1 << 21) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, held: int | None = None) -> DataFrame:
     """(doc_id, leader) of the rows of ``docs`` that are near copies of a row that stays.
 
-    Candidates are the components of :func:`near_links`. In each component the smallest row
-    leads, and rows whose sets of ``words``-word shingles reach ``similarity`` (Jaccard) with a
-    leader's are its near copies; the others lead in turn. So a row goes only if a row that stays is
-    that similar, and a group costs one comparison a row and leader instead of one a pair. The first
-    leader of each component is compared in a join, which splits a hot component over tasks; what is
-    left goes through one task a component, where leaders of at most ``held`` shingles together are
-    indexed by their prefixes; rows that find no room start over. Texts of fewer words are one shingle; texts without words are equal.
+    Rows link when their sets of ``words``-word shingles reach ``similarity`` (Jaccard); the smallest
+    row of each component leads and stays, and all others go, also those that only a chain of links
+    joins to it. Texts of fewer words are one shingle; texts without words are equal. ``held`` bounded
+    the leaders of a task and has no effect: no task holds a component.
     """
     members = settled(docs.sparkSession, "members", lambda: candidate_groups(docs, words, similarity))
-    kind = members.schema["doc_id"].dataType.simpleString()
-
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        digest = xxhash.xxh64_intdigest
-        rows = [np.unique(np.array([digest(s) for s in shingles(x, words)], np.uint64)).view(np.int64) for x in batch.column(2).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], ["component_id", "doc_id", "shingles"])
-
-    texts = docs.select("doc_id", text_or_empty("text").alias("text")).join(members, "doc_id").select("component_id", "doc_id", "text")
-    rest = stage(per_batch(texts, sets, f"component_id long, doc_id {kind}, shingles array<bigint>"), "shingle-sets")
-    common = F.size(F.array_intersect("shingles", "of_leader"))
-    alike = common >= F.lit(similarity) * (F.size("shingles") + F.size("of_leader") - common)
-    found = [members.where("false").select("doc_id", F.col("doc_id").alias("leader"))]
-    while not rest.isEmpty():
-        first = rest.groupBy("component_id").agg(F.min("doc_id").alias("leader"))
-        lead = rest.join(first, "component_id").where("doc_id = leader").select("component_id", "leader", F.col("shingles").alias("of_leader"))
-        judged = rest.join(stage(lead, "leaders"), "component_id").where("doc_id <> leader").withColumn("alike", alike)
-        # the sets of near copies are not needed again
-        judged = judged.select("component_id", "doc_id", "leader", "alike", F.when(~F.col("alike"), F.col("shingles")).alias("shingles"))
-        judged = stage(judged, "judged")
-        found.append(judged.where("alike").select("doc_id", "leader"))
-        others = judged.where("NOT alike").select("component_id", "doc_id", "shingles")
-        ordered = others.repartition("component_id").sortWithinPartitions("component_id", "doc_id")
-        led = stage(ordered.mapInArrow(_led(similarity, held), f"doc_id {kind}, leader {kind}"), "led")
-        found.append(led.where("leader IS NOT NULL"))
-        beyond = led.where("leader IS NULL").select("doc_id")
-        rest = stage(others.join(beyond, "doc_id", "left_semi"), "beyond")
-    return reduce(DataFrame.unionByName, found)
+    leaders = members.groupBy("component_id").agg(F.min("doc_id").alias("leader"))
+    return members.join(leaders, "component_id").where("doc_id <> leader").select("doc_id", "leader")
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:

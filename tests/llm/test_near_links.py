@@ -48,3 +48,15 @@ def test_links_against_brute_force_with_a_common_passage(spark):
         assert pairs <= links
         got = {r.node: r.root for r in components(spark.createDataFrame(list(pairs), "a long, b long"), "t").collect()}
         assert got == want
+
+
+def test_one_row_of_a_chain_and_of_a_star_stays(spark):
+    words = [f"c{i}" for i in range(160)]
+    chain = [(i, " ".join(words[6 * i : 6 * i + 100])) for i in range(10)]
+    base = [f"s{i}" for i in range(100)]
+    star = [(100 + i, " ".join([*base[: 15 * i + 10], *(f"n{i}x{j}" for j in range(12)), *base[15 * i + 10 :]])) for i in range(6)]
+    star.append((199, " ".join(base)))
+    assert jaccard(chain[0][1], chain[1][1]) >= 0.8 > jaccard(chain[0][1], chain[2][1])
+    assert all(jaccard(base, star[-1][1]) >= 0.8 for _, base in star) and jaccard(star[0][1], star[1][1]) < 0.8
+    docs = spark.createDataFrame(chain + star, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.without_near_copies(docs).collect()) == [0, 100]
