@@ -358,8 +358,13 @@ def vocabulary(spark, sf):
     return _space(spark, sf).vocab.unionByName(documents).select(_cc(), "term", "df", "total")
 
 
-@register("idf", "SELECT cc, term, round(idf, 6) AS idf FROM pf_vocab", "pf_vocab")
+@register("idf", "SELECT cc, term, round(idf, 6) AS idf FROM pn_vocab", "pn_vocab")
 def idf(spark, sf):
+    return _space(spark, sf).vocab.select(_cc(), "term", r6("idf"))
+
+
+@register("idf_sampled", "SELECT cc, term, round(idf, 6) AS idf FROM pf_vocab", "pf_vocab")
+def idf_sampled(spark, sf):
     return _space(spark, sf, replace(PARAMS, fit_sample=300)).vocab.select(_cc(), "term", r6("idf"))
 
 
