@@ -4,21 +4,22 @@ A fingerprint is cut into blocks of 23 bits, and the words of the perfect binary
 length are the anchors of a block: every block value lies within 3 bits (the covering radius) of
 exactly one of them. A fingerprint lives at its own anchor and is also sent to every anchor within
 the radius plus the threshold. Two fingerprints that differ in at most ``threshold`` bits then meet
-at the anchor where either of them lives, so only the rows of one anchor are compared.
+at the anchor where either of them lives, so only the rows of one anchor are compared. The rows of a
+hot anchor are cut into blocks, and each block of rows that live there meets each block of all its
+rows in a cell of its own.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinmatch.llm.common import arrow_settings, components, per_batch, stage, text_or_empty
@@ -31,16 +32,8 @@ RADIUS = 3
 BITS = 23
 #: Generator polynomial of the binary Golay code of length 23 (fixed value).
 GOLAY = 0b101011100011
-#: Groups of fingerprints that fit beside an anchor.
-GROUPS = 16
-#: The order of shingles is taken from about so many rows, and so many common shingles at most; it changes no result.
-ORDER_ROWS = 20000
-ORDER_SHINGLES = 1 << 18
-#: Rounds of comparisons with centres before all open pairs of a cell are compared.
-ROUNDS = 3
-#: By threshold, rows of one anchor that are compared pair by pair. Beyond that the linear way is
-#: cheaper: it makes 65 rows of each fingerprint at 2 bits, 2081 at 4.
-CELL_ROWS = {0: 4096, 2: 4096, 4: 1 << 16}
+#: Rows of one anchor that one task compares. A larger anchor is cut into blocks of so many rows.
+CELL_ROWS = 4096
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
@@ -99,48 +92,36 @@ def offsets(threshold: int) -> tuple[np.ndarray, np.ndarray]:
     return masks, excess
 
 
-def views(threshold: int) -> list[list[tuple[int, int]]]:
-    """The blocks (lowest bit, bits) of each view; a block of fewer bits than the code is filled up with zeros.
-
-    Up to 2 bits: one view, two blocks. Beyond: three views of one block each, which share no bit, so
-    in one of them two fingerprints differ in at most a third of the threshold.
-    """
-    return [[(0, 23), (23, 23)]] if threshold <= 2 else [[(0, 21)], [(21, 21)], [(42, 22)]]
-
-
-def anchors(values: np.ndarray, threshold: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(view, row, anchor, home) of each fingerprint and each anchor that it is sent to."""
-    per_view = threshold // len(views(threshold))
-    masks, excess = offsets(per_view)
-    for view, blocks in enumerate(views(threshold)):
-        row = np.arange(len(values))
-        anchor, over = np.zeros(len(values), np.int64), np.zeros(len(values), np.int8)
-        for low, bits in blocks:
-            block = ((values[row] >> np.uint64(low)) & np.uint64((1 << bits) - 1)).astype(np.int64)
-            syndrome = _syndrome(block)
-            total = over[:, None] + excess[syndrome]
-            at, which = np.nonzero(total <= per_view)
-            row, over = row[at], total[at, which]
-            anchor = (anchor[at] << BITS) | (block[at] ^ masks[syndrome[at], which])
-        yield view, row, anchor, over == 0
+def anchors(values: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, anchor, home) of each fingerprint and each anchor that it is sent to."""
+    masks, excess = offsets(threshold)
+    row = np.arange(len(values))
+    anchor, over = np.zeros(len(values), np.int64), np.zeros(len(values), np.int8)
+    for low in (0, BITS):
+        block = ((values[row] >> np.uint64(low)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        syndrome = _syndrome(block)
+        total = over[:, None] + excess[syndrome]
+        at, which = np.nonzero(total <= threshold)
+        row, over = row[at], total[at, which]
+        anchor = (anchor[at] << BITS) | (block[at] ^ masks[syndrome[at], which])
+    return row, anchor, over == 0
 
 
 def _sent(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
-                group, part = (c.slice(start, 4096).to_numpy() for c in batch.columns)
-                for view, row, anchor, home in anchors(part.view(np.uint64), threshold):
-                    key = (anchor * 4 + view) * GROUPS + group[row]
-                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row]), pa.array(home)], ["anchor", "fp", "home"])
+                part = batch.column(0).slice(start, 4096).to_numpy()
+                row, anchor, home = anchors(part.view(np.uint64), threshold)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(part[row]), pa.array(home)], ["anchor", "fp", "home"])
 
     return run
 
 
-def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, a, b): links among the rows of each anchor as a spanning forest; rows come sorted by anchor."""
+def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """(a, b): links among the rows of each anchor as a spanning forest; rows come sorted by anchor."""
     values = fp.view(np.uint64)
-    at, left, right = [], [], []
+    left, right = [], []
     starts = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     sizes = np.diff(np.r_[starts, len(anchor)])
     small = sizes <= 64
@@ -150,7 +131,6 @@ def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold:
         alive = alive[alive + step < ends[alive]]
         near = np.bitwise_count(values[alive] ^ values[alive + step]) <= threshold
         hit = alive[near & (home[alive] | home[alive + step])]
-        at.append(anchor[hit])
         left.append(fp[hit])
         right.append(fp[hit + step])
     for start, size in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
@@ -161,20 +141,24 @@ def _cell_links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold:
             groups, first = np.unique(label[near], return_index=True)
             if len(groups) > 1:
                 others = near[first[groups != label[i]]]
-                at.append(np.full(len(others), anchor[start]))
                 left.append(np.full(len(others), cell[i]).view(np.int64))
                 right.append(cell[others].view(np.int64))
                 label[np.isin(label, groups)] = groups[0]
     none = np.zeros(0, np.int64)
-    return tuple(np.concatenate(x or [none]) for x in (at, left, right))
+    return tuple(np.concatenate(x or [none]) for x in (left, right))
 
 
 def _links(threshold: int, cell_rows: int):
-    """Rows sorted by anchor in; (group, a, b) out, or (group, fp, null) for each row of an anchor beyond ``cell_rows``."""
+    """Rows sorted by anchor in; links (a, b) out, and as they came the rows of each anchor beyond ``cell_rows``."""
+    names = ["a", "b", "anchor", "fp", "home"]
 
-    def pairs(anchor: np.ndarray, a: np.ndarray, b: np.ndarray | None = None) -> pa.RecordBatch:
-        columns = [pa.array(anchor % GROUPS), pa.array(a), pa.nulls(len(a), pa.int64()) if b is None else pa.array(b)]
-        return pa.RecordBatch.from_arrays(columns, ["group", "a", "b"])
+    def pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(a), t) for t in (pa.int64(), pa.int64(), pa.bool_())]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *none], names)
+
+    def put_off(rows: list[np.ndarray]) -> pa.RecordBatch:
+        none = [pa.nulls(len(rows[0]), pa.int64())] * 2
+        return pa.RecordBatch.from_arrays([*none, *map(pa.array, rows)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, full = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)], None
@@ -188,16 +172,16 @@ def _links(threshold: int, cell_rows: int):
                 anchor = rows[0]
                 if full is not None and len(anchor) and anchor[0] == full:
                     go = int(np.searchsorted(anchor, full, side="right"))
-                    yield pairs(anchor[:go], rows[1][:go])
+                    yield put_off([x[:go] for x in rows])
                     rows[:] = [x[go:] for x in rows]
             sizes = np.diff(np.r_[np.flatnonzero(np.r_[True, part[0][1:] != part[0][:-1]]), len(part[0])]) if len(part[0]) else []
             large = np.repeat(np.asarray(sizes) > cell_rows, sizes) if len(part[0]) else np.zeros(0, bool)
             if large.any():
-                yield pairs(part[0][large], part[1][large])
+                yield put_off([x[large] for x in part])
                 part = [x[~large] for x in part]
             if len(rest[0]) > cell_rows:
                 full = int(rest[0][0])
-                yield pairs(rest[0], rest[1])
+                yield put_off(rest)
                 rest = [x[:0] for x in rest]
             if len(part[0]) > 1:
                 yield pairs(*_cell_links(*part, threshold))
@@ -207,35 +191,46 @@ def _links(threshold: int, cell_rows: int):
     return run
 
 
-def links(values: DataFrame, threshold: int = 2, cell_rows: int | None = None) -> DataFrame:
-    """(group, a, b): a forest of links whose components are those of all pairs of ``fp`` within ``threshold`` bits.
+def _hot_links(rows: DataFrame, threshold: int, cell_rows: int) -> DataFrame:
+    """(a, b): links of the anchors that are too large for one task.
+
+    The rows that live at an anchor and all its rows are cut into blocks; each two of them meet in a
+    cell (anchor, block of home rows, block of rows). Blocks go by hash, twice as many as needed on
+    average.
+    """
+    blocks = lambda n: F.ceil(F.col(n) * F.lit(2.0 / cell_rows)).cast("long")
+    sizes = rows.groupBy("anchor").agg(F.count("*").alias("all"), F.count_if("home").alias("homes"))
+    sizes = stage(sizes.where("homes > 0").select("anchor", blocks("all").alias("all"), blocks("homes").alias("homes")), "hot-anchors")
+    rows = rows.join(sizes, "anchor")
+    spread = lambda n, seed: F.pmod(F.xxhash64("fp", F.lit(seed)), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    homes = rows.where("home").select("anchor", spread("homes", 1).alias("i"), "fp", every("all").alias("j"), F.lit(True).alias("home"))
+    others = rows.select("anchor", spread("all", 2).alias("j"), "fp", every("homes").alias("i"), F.lit(False).alias("home"))
+
+    def cell(table: pa.Table) -> pa.Table:
+        fp, home = (table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("fp", "home"))
+        a, b = _cell_links(np.zeros(len(fp), np.int64), fp, home, threshold)
+        return pa.table({"a": a, "b": b})
+
+    return homes.unionByName(others).groupBy("anchor", "i", "j").applyInArrow(cell, "a long, b long").where("a <> b")
+
 
-    Fingerprints link inside their ``group`` (below ``GROUPS``; 0 where ``values`` has no such column).
-    ``values`` should hold each ``fp`` of a group once; repeats only cost time.
+def links(values: DataFrame, threshold: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(a, b): a forest of links whose components are those of all pairs of ``fp`` within ``threshold`` bits.
 
-    An anchor that more than ``cell_rows`` fingerprints reach is not compared pair by pair. There two
-    fingerprints link exactly if some word lies within half of the threshold of both, so each one is
-    joined to the smallest fingerprint that shares such a word: linear in the anchor's rows.
+    ``values`` should hold each ``fp`` once; repeats only cost time. No task compares more than about
+    ``cell_rows`` rows that live at an anchor with as many of its rows.
     """
-    if threshold % 2 or not 0 <= threshold <= 4:
-        raise ValueError("threshold: 0, 2 or 4")
-    cell_rows = cell_rows or CELL_ROWS[threshold]
+    if not 0 <= threshold <= 3:
+        raise ValueError("threshold: 0 to 3")
     arrow_settings(values.sparkSession)
-    group = F.col("group").cast("long") if "group" in values.columns else F.lit(0).cast("long")
-    sent = values.select(group.alias("group"), "fp").mapInArrow(_sent(threshold), "anchor long, fp long, home boolean")
+    sent = values.select("fp").mapInArrow(_sent(threshold), "anchor long, fp long, home boolean")
     ordered = sent.repartition("anchor").sortWithinPartitions("anchor")
-    met = stage(ordered.mapInArrow(_links(threshold, cell_rows), "group long, a long, b long"), "anchor-links")
-    found, hot = met.where("b IS NOT NULL"), met.where("b IS NULL").select("group", F.col("a").alias("fp")).distinct()
+    met = stage(ordered.mapInArrow(_links(threshold, cell_rows), "a long, b long, anchor long, fp long, home boolean"), "anchor-links")
+    found, hot = met.where("b IS NOT NULL").select("a", "b"), met.where("b IS NULL").select("anchor", "fp", "home")
     if hot.isEmpty():
         return found
-    half = threshold // 2
-    balls = [0, *(sum(1 << i for i in c) for n in range(1, half + 1) for c in combinations(range(64), n))]
-    masks = F.array(*(F.lit(x - (1 << 64) if x >> 63 else x) for x in balls))
-    words = hot.select("group", "fp", F.explode(masks).alias("mask"))
-    words = stage(words.select("group", "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("word")), "shared-words")
-    least = words.groupBy("group", "word").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    shared = words.join(least, ["group", "word"]).where("fp <> b").select("group", F.col("fp").alias("a"), "b").distinct()
-    return found.unionByName(shared)
+    return found.unionByName(stage(_hot_links(hot, threshold, cell_rows), "hot-anchor-links"))
 
 
 def near_duplicate_groups(docs: DataFrame, words: int = 3, threshold: int = 2) -> DataFrame:
@@ -261,149 +256,17 @@ def grouped(prints: DataFrame, threshold: int) -> DataFrame:
     return prints.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def _shingle_set(text: str, words: int) -> np.ndarray:
-    """XXH64 of the text's distinct shingles, ascending."""
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(x) for x in shingles(text, words)], np.uint64)).view(np.int64)
-
+def without_near_copies(docs: DataFrame, words: int = 3, threshold: int = 2) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each group of ``near_duplicate_groups``.
 
-def _known_common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that occur often, ascending, and how often, counted in a part of the rows.
-
-    They only say in which order sets are cut to prefixes; any order gives the same pairs.
+    The row with the smallest doc_id stays; null doc_ids come last, and of rows that repeat a doc_id
+    the first by file and row number stays. All texts without words are one group.
     """
-    rows = docs.count()
-    part = docs.select(text_or_empty("text").alias("text"))
-    if rows > ORDER_ROWS:
-        part = part.where(F.pmod(F.xxhash64("text"), F.lit(rows // ORDER_ROWS + 1)) == 0)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [_shingle_set(x, words) for x in batch.column(0).to_pylist()]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets))], ["shingle"])
-
-    counts = per_batch(part, run, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where("n > 2")
-    top = counts.orderBy(F.desc("n"), "shingle").limit(ORDER_SHINGLES).toArrow()
-    shingle, n = (top.column(i).to_numpy() for i in range(2))
-    order = np.argsort(shingle)
-    return shingle[order], n[order]
-
-
-def _prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(doc_id, key, n, prefix) of every row: a digest and the size of its set of shingles, and the rarest of them.
-
-    Two sets that reach ``similarity`` share one of the first n - ceil(similarity x n) + 1 of each in
-    any order common to all sets.
-    """
-    common, often = _known_common(docs, words)
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, sizes, prefixes = [], [], []
-        for text in batch.column(1).to_pylist():
-            row = _shingle_set(text, words)
-            keys.append(xxhash.xxh3_128_digest(row.tobytes()))
-            sizes.append(len(row))
-            rank = np.zeros(len(row), np.int64)
-            if len(common):
-                at = np.minimum(np.searchsorted(common, row), len(common) - 1)
-                rank = np.where(common[at] == row, often[at], 0)
-            prefixes.append(row[np.lexsort((row, rank))[: len(row) - math.ceil(similarity * len(row) - 1e-9) + 1]])
-        arrays = [batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "key", "n", "prefix"])
-
-    slim = docs.select("doc_id", text_or_empty("text").alias("text"))
-    return per_batch(slim, run, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, key binary, n int, prefix array<bigint>")
-
-
-def near_links(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(prints, links): ``prints`` numbers the rows (doc_id, row); links (a, b) of row numbers have the components of all pairs that reach ``similarity``.
-
-    The pairs are those whose sets of ``words``-word shingles have that Jaccard similarity, and none is
-    missed: rows meet in the cells of their prefixes' shingles. Equal sets are one node. First every
-    node is compared with one centre of its cells, then one pair of each two groups that meet at a
-    centre, in a few rounds, which joins large groups at few comparisons a node. Then all pairs of a cell that are not joined yet are
-    compared, so a pair is left out only where a chain of links already joins it.
-    """
-    prints = stage(_prefixes(docs, words, similarity).withColumn("row", F.monotonically_increasing_id()), "prefixes")
-    nodes = stage(prints.groupBy("key").agg(F.min("row").alias("node")), "set-nodes")
-    equal = prints.select("key", "row").join(nodes, "key").where("row <> node").select(F.col("row").alias("a"), F.col("node").alias("b"))
-    of_nodes = prints.join(nodes.select("node"), F.col("row") == F.col("node"))
-    sent = of_nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    in_cell = Window.partitionBy("shingle")
-    cells = stage(sent.withColumn("rows", F.count("*").over(in_cell)).where("rows > 1").drop("rows"), "cells")
-    texts = docs.select("doc_id", text_or_empty("text").alias("text")).join(prints.select("doc_id", "row"), "doc_id")
-    texts = texts.join(cells.select(F.col("node").alias("row")).distinct(), "row").select("row", "text")
-
-    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [_shingle_set(x, words) for x in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], ["row", "shingles"])
-
-    held = stage(per_batch(texts, sets, "row long, shingles array<bigint>"), "shingle-sets")
-    of_a, of_b = (held.select(F.col("row").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    alike = common >= F.lit(similarity) * (F.size("of_a") + F.size("of_b") - common)
-
-    def checked(pairs: DataFrame) -> DataFrame:
-        return stage(pairs.join(of_a, "a").join(of_b, "b").where(alike).select("a", "b"), "near-links")
-
-    found, placed = [], cells.withColumn("root", F.col("node"))
-    for number in range(rounds):
-        # the same node is the centre of most cells of a group, and another one in each round; sizes
-        # that differ by more than the similarity never match, so a cell has a centre by size
-        banded = placed.withColumn("band", F.floor(F.log(F.col("n") + 1.0) / -math.log(similarity) + number / rounds))
-        order = F.struct(F.xxhash64(F.lit(number), "node").alias("h"), "node", "root")
-        centres = banded.groupBy("shingle", "band").agg(F.min(order).alias("c"), F.min("root").alias("low"), F.max("root").alias("high"))
-        centres = centres.where("low < high").select("shingle", "band", F.col("c.node").alias("b"), F.col("c.root").alias("of_centre"))
-        offered = banded.join(centres, ["shingle", "band"]).where("root <> of_centre")
-        offered = offered.groupBy("root", "of_centre", F.col("node").alias("a"), "b").agg(F.count("*").alias("n"))
-        # then one pair for each two groups that meet at a centre
-        by = ["root", "of_centre"] if number else ["a"]
-        best = offered.groupBy(*by).agg(F.max(F.struct("n", "a", "b")).alias("m"))
-        pairs = stage(best.select("m.a", "m.b").distinct(), "offered")
-        new = checked(pairs)
-        found.append(new)
-        if new.isEmpty():
-            break
-        roots = components(reduce(DataFrame.unionByName, found), "near-roots")
-        placed = stage(cells.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed-cells")
-    # rows outside the root with the most rows of their cell meet all rows of other roots
-    sizes = placed.groupBy("shingle", "root").agg(F.count("*").alias("rows"))
-    main = sizes.groupBy("shingle").agg(F.max(F.struct("rows", "root")).alias("m"), F.count("*").alias("roots")).where("roots > 1")
-    open_cells = stage(placed.join(main.select("shingle", F.col("m.root").alias("main")), "shingle"), "open-cells")
-    left = open_cells.where("root <> main").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("node", "n", "pos", "root")))
-    right = open_cells.select("shingle", "main", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "pos", "root")))
-    once = "root_a <> root_b AND (root_b = main OR node_a < node_b)"
-    sized = F.least("n_a", "n_b") >= F.lit(similarity) * F.greatest("n_a", "n_b") - 1e-9
-    # what the sets can still share from this shingle on, if it is the first they share
-    reach = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= F.lit(similarity / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) - 1e-6
-    met = left.join(right, "shingle").where(F.expr(once) & sized & reach)
-    pairs = stage(met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), "cell-pairs")
-    found.append(checked(pairs))
-    return prints.select("doc_id", "row"), reduce(DataFrame.unionByName, found).unionByName(equal)
-
-
-def candidate_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) of the rows that reach ``similarity`` with another, by what links of such pairs reach; ``component_id`` is a row number."""
-    prints, found = near_links(docs, words, similarity)
-    roots = components(found, "near-groups")
-    return prints.join(roots, prints.row == roots.node).select("doc_id", F.col("root").alias("component_id"))
-
-
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, held: int | None = None) -> DataFrame:
-    """(doc_id, leader) of the rows of ``docs`` that are near copies of a row that stays.
-
-    Rows link when their sets of ``words``-word shingles reach ``similarity`` (Jaccard); the smallest
-    row of each component leads and stays, and all others go, also those that only a chain of links
-    joins to it. Texts of fewer words are one shingle; texts without words are equal. ``held`` bounded
-    the leaders of a task and has no effect: no task holds a component.
-    """
-    members = settled(docs.sparkSession, "members", lambda: candidate_groups(docs, words, similarity))
-    leaders = members.groupBy("component_id").agg(F.min("doc_id").alias("leader"))
-    return members.join(leaders, "component_id").where("doc_id <> leader").select("doc_id", "leader")
-
-
-def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one of each near copy's group."""
     columns, docs = docs.columns, located(docs)
     keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_at").alias("doc_id"), "text")
-    gone = settled(docs.sparkSession, "near-copies", lambda: near_copies(keyed).select(F.col("doc_id._at").alias("_at")))
+
+    def gone() -> DataFrame:
+        return near_duplicate_groups(keyed, words, threshold).where("doc_id <> component_id").select(F.col("doc_id._at").alias("_at"))
+
+    gone = settled(docs.sparkSession, "near-copies", gone)
     return docs.join(gone.hint("merge"), "_at", "left_anti").select(*columns)  # its size has no bound: no broadcast

@@ -3,21 +3,14 @@ import corpus_pipeline
 from kinmatch.llm import simhash
 
 
-def test_near_copies_against_brute_force(spark):
-    base = [f"w{i * 7919 % 1000}x{i}" for i in range(120)]
-    rows = [(i, " ".join([*base[:60], f"new{i}", *base[60:]])) for i in range(40)]  # one group: all pairs above 0.8
-    rows += [(100 + i, " ".join(f"doc{i}w{j}" for j in range(50))) for i in range(20)] + [(200, None), (201, ""), (202, "one")]
-    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    stays = sorted(r.doc_id for r in simhash.without_near_copies(docs).collect())
-    assert stays == [0, *range(100, 120), 200, 202]
-
-
-def test_leaders_beyond_the_bound_start_over(spark):
-    # one component of texts that are all unlike each other
-    rows = [(i, " ".join(f"{'ab'[i >> b & 1]}{b}" for b in range(6))) for i in range(30)] + [(40, " ".join(f"a{b}" for b in range(6)))]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    gone = sorted(r.doc_id for r in simhash.near_copies(docs, held=20).collect())
-    assert gone == [40]
+def test_near_copies_stay_once(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    extra = [(90001, None), (90002, ""), (90003, "one two"), (None, "One two"), (90003, "one two"), (90004, "x " * 50000)]
+    docs = docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string")).selectExpr("*", "1 AS fp", "2 AS component_id")
+    groups = simhash.near_duplicate_groups(docs.select("doc_id", "text")).collect()
+    stays = simhash.without_near_copies(docs)
+    assert stays.columns == docs.columns
+    assert sorted(r.doc_id for r in stays.collect()) == sorted({r.component_id for r in groups})
 
 
 def test_stages(spark, sf):
