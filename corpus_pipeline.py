@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from kinmatch.llm import exact_dedup, mixing, quality, sentencepieces, simhash
 from kinmatch.llm.common import stage, table
-from kinmatch.session import scratch
+from kinmatch.session import delete, scratch, scratch_path
 
 #: Documents with a smaller score for good quality are rejected.
 REJECT_BELOW = 0.5
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that the classifier scores below ``REJECT_BELOW``; learns from the labelled rows that are not held out."""
+    """Rejects documents that the classifier scores below ``REJECT_BELOW``; learns from the labelled rows that are not held out.
+
+    Null text is empty and is scored like any other; rows are told apart by their place, so repeated and null doc_ids do no harm.
+    """
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~quality.held_out())
     with scratch(spark):
         model = quality.train(docs, labels)
@@ -28,16 +31,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts equal up to white space stay once, with the smallest doc_id; null text is empty and null doc_ids come last."""
     return exact_dedup.without_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies share 0.8 or more of their five-word shingles; one document of each group that such pairs join stays."""
-    return simhash.without_near_copies(docs)
+    """Near copies differ in at most 2 bits of their SimHash over 3-word shingles; of each group that links reach, the smallest doc_id stays."""
+    return simhash.without_near_copies(docs, words=3, threshold=2)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Languages to the square roots of their shares; the labelled rows name the language."""
+    """Languages to the square roots of their shares; the labelled rows name the language. Null text has no tokens; rows with a null doc_id are drawn alike."""
     labelled = table(spark, sf_dir, "labels").select("doc_id").join(docs.select("doc_id", F.col("lang").alias("domain")), "doc_id")
     return mixing.mixed(docs, labelled)
 
@@ -61,8 +65,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's rows are written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents; each stage's rows are written to the shared folder and read again, and go when the next one's are written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"stage/pipeline-{name}")
+        with scratch(spark):
+            docs = stage(function(spark, docs, sf_dir), name, path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs

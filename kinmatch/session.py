@@ -69,15 +69,16 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The lineage ends in the written files, so a lost executor costs no recomputation, and the
     optimiser knows the true size: small tables are broadcast by the engine's own size check and
-    large ones are not. The table lives until the :func:`scratch` around it ends.
+    large ones are not. The table lives until the :func:`scratch` around it ends, or at ``path`` until
+    the caller deletes it.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"stage/{name}")
+    path = path or scratch_path(spark, f"stage/{name}")
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -104,8 +105,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _scratch.reset(token)
         for path in held:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
