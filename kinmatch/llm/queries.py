@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import chat, exact_dedup, mixing, quality, secrets, sentencepieces, simhash, token_counts, vector_search, warc
+from kinmatch.llm import chat, clustering, divergence, exact_dedup, mixing, packing, quality, secrets, sentencepieces, simhash, token_counts, vector_search, warc
 from kinmatch.llm.common import stage, table
 from kinmatch.session import shared_folder
 
@@ -153,6 +153,85 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=1024, end=0)
+
+
+@_query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=10, top_terms=10)
+
+
+ORACLES["op12_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+words AS MATERIALIZED (
+  SELECT lang, source, no, term, count(*) AS n FROM (SELECT lang, source, no, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS MATERIALIZED (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM words GROUP BY lang, term HAVING count(*) >= 10),
+langs AS (SELECT lang, sum(n)::HUGEINT AS n, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counts AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n AS in_lang
+  FROM groups g JOIN kept k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM words GROUP BY ALL) c USING (lang, source, term)),
+shares AS MATERIALIZED (
+  SELECT lang, source, term, c.n, 1 + (1000000000::HUGEINT * (c.n + 2)) // (sum(c.n) OVER (PARTITION BY lang, source) + 2 * l.v) AS p,
+    1 + (1000000000::HUGEINT * (in_lang + 2)) // (l.n + 2 * l.v) AS q
+  FROM counts c JOIN langs l USING (lang)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+terms AS (
+  SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM shares WHERE n > 0 AND p > q),
+rows AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+@_query
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, size=64, scale=256, seed=2)
+
+
+def _clustering_sql(rounds: int) -> str:
+    """One pair of tables a round: assignment and new centroids."""
+    nearest = """a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, c.k, list_sum(list_transform(list_zip(x.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS distance
+  FROM x, c{i} c QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, c.k) = 1)"""
+    moved = """c{j} AS MATERIALIZED (
+  SELECT c.k, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN (
+    SELECT k, list(s ORDER BY i) AS c FROM (
+      SELECT k, i, CAST((sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS s
+      FROM a{i}, range(1, 65) t(i) GROUP BY k, i) GROUP BY k) m USING (k))"""
+    steps = [nearest.format(i=0)]
+    for i in range(rounds):
+        steps += [moved.format(i=i, j=i + 1), nearest.format(i=i + 1)]
+    return f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * e::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS INTEGER) AS k, v AS c FROM x QUALIFY k < 40),
+{", ".join(steps)}
+SELECT vec_id, k AS cluster, distance::BIGINT AS distance, CAST(sum(distance) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (k)
+"""
+
+
+ORACLES["op13_clustering"] = _clustering_sql(5)
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
