@@ -33,7 +33,7 @@ def match(s1: DataFrame, s23: DataFrame, matcher: Matcher, params: LinkParams =
     """``(candidate pairs, linked pairs)`` of every source-1 record, all countries in one run."""
     pairs = stage(blocking.block(s1, s23, params), "pairs")  # both results hang on it
     scored = score(matcher.model, features.pair_features(pairs, s1, s23))
-    return pairs, apply_threshold(scored, matcher.threshold)
+    return pairs, apply_threshold(scored, params.threshold if matcher.threshold is None else matcher.threshold)
 
 
 def match_slice(
@@ -59,13 +59,15 @@ def rescore(
     matcher: Matcher,
     stored: DataFrame | None = None,
     strict: bool = True,
+    params: LinkParams = LinkParams(),
 ) -> DataFrame:
     """Score stored candidate lists again, without blocking: linked pairs.
 
-    The cosine is 0 unless ``stored(s1_id, c_id, cosine)`` brings it along.
+    The cosine is 0 unless ``stored(s1_id, c_id, cosine)`` brings it along. A matcher without a
+    cut-off takes ``params.rescore_threshold``.
     """
     pairs = tables.explode_lists(lists, s1)
     if stored is not None:
         pairs = pairs.join(stored.select("s1_id", "c_id", "cosine"), ["s1_id", "c_id"], "left")
     scored = score(matcher.model, features.pair_features(pairs, s1, s23, strict))
-    return apply_threshold(scored, matcher.threshold)
+    return apply_threshold(scored, params.rescore_threshold if matcher.threshold is None else matcher.threshold)

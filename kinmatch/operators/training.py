@@ -6,15 +6,15 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import FEATURES, LinkParams
 from ..session import shared_folder, stage
-from . import evaluate
+from . import blocking, evaluate, features
 from .ranking import first_n, spread, spread_bucket
 
 
@@ -98,33 +98,59 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- model
 
 
-def fit(pairs: DataFrame, params: LinkParams = LinkParams(), early_stop: bool = True) -> PipelineModel:
+def _watched(share: float) -> Column:
+    """A repeatable ``share`` of the pairs."""
+    return F.pmod(F.xxhash64("s1_id", "c_id"), F.lit(1000)) < int(share * 1000)
+
+
+def best_round(losses: list[float], patience: int, tolerance: float = 1e-7) -> int:
+    """The round (from 1) with the least loss before ``patience`` rounds in a row bring nothing, first one on ties."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best] - tolerance:
+            best = at
+        elif at - best >= patience:
+            break
+    return best + 1
+
+
+def fit(pairs: DataFrame, params: LinkParams = LinkParams(), early_stop: bool = True, rounds: int | None = None) -> PipelineModel:
     """Boosted trees over the 16 features of ``pairs(..., label)``.
 
-    With ``early_stop`` a repeatable tenth of the pairs watches the loss; the refit on all pairs
-    runs without it.
+    With ``early_stop`` a repeatable tenth of the pairs is left out of the fit and watches it: the
+    losses of all prefixes of the ensemble come from one pass over these pairs, and the ensemble ends
+    at its :func:`best_round`. Boosting is repeatable, so the shorter ensemble is a prefix of the
+    longer one; its rounds are run again. Without, all pairs and ``rounds`` rounds are used.
     """
-    trees = GBTClassifier(
-        featuresCol="features",
-        labelCol="label",
-        maxIter=params.rounds,
-        stepSize=params.step,
-        maxDepth=params.depth,
-        minInstancesPerNode=params.min_leaf,
-        maxBins=params.bins,
-        seed=params.seed,
-        checkpointInterval=20,
-    )
     spark = pairs.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    watch = F.pmod(F.xxhash64("s1_id", "c_id"), F.lit(1000)) < int(params.early_stop_share * 1000)
-    table = pairs.select(*FEATURES, F.col("label").cast("double").alias("label"), watch.alias("watch"))
-    if early_stop:
-        trees = trees.setValidationIndicatorCol("watch")
+    table = pairs.select(*FEATURES, F.col("label").cast("double").alias("label"), _watched(params.early_stop_share).alias("watch"))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    ready = stage(table, "train")
-    return PipelineModel([assembler, trees.fit(assembler.transform(ready))])
+    ready = assembler.transform(stage(table, "train"))
+
+    def boosted(rows: DataFrame, number: int) -> GBTClassificationModel:
+        trees = GBTClassifier(
+            featuresCol="features",
+            labelCol="label",
+            maxIter=number,
+            stepSize=params.step,
+            maxDepth=params.depth,
+            minInstancesPerNode=params.min_leaf,
+            maxBins=params.bins,
+            seed=params.seed,
+            checkpointInterval=20,
+        )
+        return trees.fit(rows)
+
+    number = rounds or params.rounds
+    watch = ready.where("watch")
+    if not early_stop or watch.isEmpty():
+        return PipelineModel([assembler, boosted(ready, number)])
+    learn = ready.where("NOT watch")
+    model = boosted(learn, number)
+    best = best_round(model.evaluateEachIteration(watch), params.patience)
+    return PipelineModel([assembler, model if best == number else boosted(learn, best)])
 
 
 def score(model: PipelineModel, pairs: DataFrame) -> DataFrame:
@@ -143,10 +169,10 @@ def train_accuracy(model: PipelineModel, pairs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Matcher:
-    """A fitted model with its cut-off and hold-out score."""
+    """A fitted model with its cut-off (None: that of the parameters) and hold-out score."""
 
     model: PipelineModel
-    threshold: float
+    threshold: float | None
     val_f05: float
     rounds_tuned: int
     rounds_final: int
@@ -159,7 +185,8 @@ class Matcher:
         spark.createDataFrame(meta, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, default_threshold: float = LinkParams.threshold) -> Matcher:
+    def load(cls, spark: SparkSession, path: str, default_threshold: float | None = None) -> Matcher:
+        """``default_threshold`` stands in where the bundle has no cut-off; without it the caller's parameters do."""
         meta = spark.read.parquet(f"{path}/meta").first()
         if list(meta["features"]) != list(FEATURES):
             raise ValueError("the stored model was fitted on other features")
@@ -168,7 +195,7 @@ class Matcher:
 
 
 def train(pairs: DataFrame, s1_ids: DataFrame, truth: DataFrame, params: LinkParams = LinkParams()) -> tuple[Matcher, DataFrame]:
-    """Tune on a record-level hold-out, then refit on everything.
+    """Tune on a record-level hold-out, then refit on everything with as many rounds.
 
     ``pairs`` carry features and label, ``s1_ids(s1_id)`` lists every record, with or without
     candidates. Returns the matcher and the sweep it was tuned on.
@@ -182,8 +209,19 @@ def train(pairs: DataFrame, s1_ids: DataFrame, truth: DataFrame, params: LinkPar
     )
     sweep = stage(evaluate.threshold_sweep(holdout_scores(held, score(tuned, checking)), held_truth), "sweep")
     best = evaluate.best_threshold(sweep).first()
-    final = fit(ready, params, early_stop=False)
-    matcher = Matcher(
-        final, best["threshold"], best["score"], tuned.stages[-1].getNumTrees, final.stages[-1].getNumTrees
-    )
+    rounds = tuned.stages[-1].getNumTrees
+    final = fit(ready, params, early_stop=False, rounds=rounds)
+    matcher = Matcher(final, best["threshold"], best["score"], rounds, final.stages[-1].getNumTrees)
     return matcher, sweep
+
+
+def train_from_sources(s1: DataFrame, s23: DataFrame, truth: DataFrame, params: LinkParams = LinkParams()) -> tuple[Matcher, DataFrame]:
+    """:func:`train` from records: sample source 1 by country, block, featurise, label, fit.
+
+    Source 1 is cut to ``params.max_train`` records in proportion to their countries; all of sources 2
+    and 3 are candidates. ``truth`` may hold more records than the sample.
+    """
+    sample = stage(stratified_sample(s1, params.max_train, "cc"), "train-records")
+    pairs = stage(blocking.block(sample, s23, params), "train-pairs")
+    labelled = label_pairs(features.pair_features(pairs, sample, s23), truth)
+    return train(labelled, sample.select(F.col("entity_id").alias("s1_id")), truth, params)

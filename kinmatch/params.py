@@ -28,6 +28,7 @@ FEATURES = (
 THRESHOLDS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
 
 
+# The defaults below.
 @dataclass(frozen=True)
 class LinkParams:
     # candidate generation
@@ -46,8 +47,9 @@ class LinkParams:
     # lists of a term longer than this are cut; a cell compares at most the product of the two
     cell_postings: int = 32_768
     cell_queries: int = 4_096
+    slice_pairs: int = 1_000_000  # candidates of one query that are ranked in one task
     # training
-    max_train: int = 24_000
+    max_train: int = 24_000  # source-1 records that train_from_sources draws
     holdout: float = 0.2
     rounds: int = 300
     step: float = 0.06
@@ -55,6 +57,7 @@ class LinkParams:
     min_leaf: int = 50
     bins: int = 255
     early_stop_share: float = 0.1
+    patience: int = 30  # rounds without a smaller loss on the watched pairs
     seed: int = 42
     # inference
     threshold: float = 0.65

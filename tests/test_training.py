@@ -36,7 +36,45 @@ def test_model_beats_every_single_feature(world):
 def test_sweep_and_rounds(world):
     *_, matcher, sweep = world
     assert [r.threshold for r in sweep.orderBy("threshold").collect()] == list(THRESHOLDS)
-    assert matcher.threshold in THRESHOLDS and matcher.rounds_final == q.SMALL_TREES.rounds >= matcher.rounds_tuned
+    assert matcher.threshold in THRESHOLDS and q.SMALL_TREES.rounds >= matcher.rounds_tuned == matcher.rounds_final
+
+
+def test_best_round():
+    assert training.best_round([5.0, 4.0, 3.0], 30) == 3
+    assert training.best_round([5.0, 4.0, 4.5, 4.2, 1.0], 2) == 2  # ends before the last round
+    assert training.best_round([5.0, 4.0, 4.5, 4.2, 1.0], 3) == 5
+    assert training.best_round([5.0, 5.0, 5.0], 30) == 1
+    assert training.best_round([5.0, 5.0 - 1e-9], 30) == 1
+
+
+def test_ensemble_ends_at_the_best_watched_round(world):
+    *_, labelled, _, _ = world
+    # a quarter of the labels is wrong, so trees soon learn what does not hold elsewhere
+    wrong = F.pmod(F.xxhash64("c_id", "s1_id"), F.lit(4)) == 0
+    labelled = stage(labelled.withColumn("label", F.when(wrong, 1 - F.col("label")).otherwise(F.col("label"))), "noisy")
+    few = replace(q.SMALL_TREES, rounds=12, step=1.0, depth=6, min_leaf=1, patience=3)
+    longer = replace(few, early_stop_share=0.0)
+    watched = training._watched(few.early_stop_share)
+    learn, watch = labelled.where(~watched), stage(labelled.where(watched), "watch")
+    whole = training.fit(learn, longer, early_stop=False)
+    losses = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(watch.withColumn("label", F.col("label").cast("double"))))
+    tuned = training.fit(labelled, few)
+    best = training.best_round(losses, few.patience)
+    assert tuned.stages[-1].getNumTrees == best < 12
+    # the shorter ensemble is a prefix of the longer one
+    nodes = [[t.toDebugString.split("\n", 1)[1] for t in m.stages[-1].trees] for m in (tuned, whole)]
+    assert nodes[0] == nodes[1][:best]
+
+
+def test_training_from_sources_samples_by_country(world, monkeypatch):
+    s1, s23, truth, *_ = world
+    seen = []
+    monkeypatch.setattr(training, "train", lambda pairs, ids, *rest: seen.append((pairs, ids)))
+    training.train_from_sources(s1, s23, truth, replace(q.SMALL_TREES, max_train=60))
+    pairs, ids = seen[0]
+    drawn = ids.withColumnRenamed("s1_id", "entity_id").join(s1, "entity_id").groupBy("cc").count().collect()
+    assert {r.cc: r["count"] for r in drawn} == {"us": 27, "india": 24, "france": 9}
+    assert pairs.join(ids, "s1_id", "left_anti").count() == 0 and pairs.where("label = 1").count() > 0
 
 
 def test_holdout_is_by_record(world):
@@ -78,7 +116,24 @@ def test_bundle(world, spark, tmp_path):
     b = training.score(again.model, labelled).agg(F.sum("prob")).first()[0]
     assert a == pytest.approx(b)
     replace(matcher, threshold=None).save(str(tmp_path / "n"))
-    assert training.Matcher.load(spark, str(tmp_path / "n"), LinkParams.rescore_threshold).threshold == 0.55
+    assert training.Matcher.load(spark, str(tmp_path / "n"), LinkParams.threshold).threshold == 0.65
+
+
+def test_bundle_without_a_cut_off_takes_that_of_the_parameters(world, spark, tmp_path):
+    s1, s23, _, pairs, _, matcher, _ = world
+    replace(matcher, threshold=None).save(str(tmp_path / "m"))
+    bare = training.Matcher.load(spark, str(tmp_path / "m"))
+    assert bare.threshold is None
+    lists = tables.candidate_lists(s1, pairs).drop("ord")
+
+    def found(m, params=LinkParams()):
+        return sorted(tuple(r) for r in inference.rescore(lists, s1, s23, m, params=params).collect())
+
+    assert found(bare) == found(replace(matcher, threshold=0.55)) != []
+    assert found(bare, replace(LinkParams(), rescore_threshold=0.999)) == []
+    _, a = inference.match(s1, s23, bare)
+    _, b = inference.match(s1, s23, replace(matcher, threshold=0.65))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
 def test_rescore(world, spark):
