@@ -13,7 +13,8 @@ the answer:
 * Long posting lists are cut into weight bands and hash cells, and long query lists into hash
   cells, so no task holds a whole list of either side.
 * The pairs of a query meet in one place, summed and ranked after a single exchange; a query that
-  may meet more than a million candidates is ranked in slices first and then over the slices' best.
+  may meet more than ``slice_pairs`` candidates is ranked in slices first and then over the slices'
+  best; the first slice's K-th score is what the other slices' candidates have to reach.
 
 Scores rank after rounding to nine digits, ties by ID.
 """
@@ -29,7 +30,6 @@ from . import tfidf
 
 BANDS = 16
 SLACK = 1e-8  # wider than the rounding of scores
-SLICE = 1_000_000  # pairs of one query ranked in one task
 
 
 def ranked(score: Column) -> Column:
@@ -122,12 +122,8 @@ class SimilarityIndex:
             .withColumn("qid", tfidf.digest(F.col("slots").cast("string")))
         )
 
-    def _plan(self, queries: DataFrame) -> DataFrame:
-        """``(qn, qid, corpus, slices, theta, lead, rest, rest_best)``, a short number ``qn`` per query.
-
-        ``lead`` holds the terms that may start a candidate with the least weight a posting needs,
-        ``rest`` the terms that only add to candidates found otherwise.
-        """
+    def _bounds(self, queries: DataFrame) -> DataFrame:
+        """``(qn, qid, corpus, s, theta)``: a short number ``qn`` per query, its terms in falling order of their best case, and a score that it is sure to reach."""
         best = (
             queries.select("qid", "corpus", F.explode("slots").alias("s"))
             .join(self._stats(), F.col("s.tid") == F.col("tid"))
@@ -146,21 +142,28 @@ class SimilarityIndex:
             .groupBy("qid", "corpus")
             .agg(F.sort_array(F.collect_list("s"), asc=False).alias("s"))
         )
+        theta = F.array_max(F.transform("s", lambda x: x["sure"])) - SLACK
+        return best.select(F.monotonically_increasing_id().alias("qn"), "qid", "corpus", "s", theta.alias("theta"))
+
+    def _plan(self, bounds: DataFrame) -> DataFrame:
+        """``(qn, qid, corpus, s, slices, theta, lead, rest, rest_best)``.
+
+        ``lead`` holds the terms that may start a candidate with the least weight a posting needs,
+        ``rest`` the terms that only add to candidates found otherwise. ``slices`` stays as it is
+        where ``bounds`` has it.
+        """
 
         def total(items: Column) -> Column:
             return F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x["best"])
 
-        bounded = best.select(
-            "qid",
-            "corpus",
-            "s",
-            (F.array_max(F.transform("s", lambda x: x["sure"])) - SLACK).alias("theta"),
-            total(F.col("s")).alias("all_best"),
-        )
-        marked = bounded.select(
+        carried = [c for c in bounds.columns if c == "slices"]
+        marked = bounds.withColumn("all_best", total(F.col("s"))).select(
+            "qn",
             "qid",
             "corpus",
             "theta",
+            "s",
+            *carried,
             F.transform(
                 "s",
                 lambda x, i: F.struct(
@@ -172,20 +175,20 @@ class SimilarityIndex:
                     ((F.col("theta") - (F.col("all_best") - x["best"])) / x["w"]).alias("need"),
                     (total(F.slice(F.col("s"), i + 1, F.size("s"))) >= F.col("theta")).alias("leads"),
                 ),
-            ).alias("s"),
+            ).alias("marked"),
         )
-        rest = F.filter("s", lambda x: ~x["leads"])
+        leads = F.filter("marked", lambda x: x["leads"])
+        rest = F.filter("marked", lambda x: ~x["leads"])
+        met = F.aggregate(leads, F.lit(0).cast("long"), lambda acc, x: acc + x["n_vectors"])
+        slices = F.col("slices") if carried else F.ceil(met / self.params.slice_pairs).alias("slices")
         return marked.select(
-            F.monotonically_increasing_id().alias("qn"),
+            "qn",
             "qid",
             "corpus",
+            "s",
             "theta",
-            F.ceil(
-                F.aggregate(
-                    F.filter("s", lambda x: x["leads"]), F.lit(0).cast("long"), lambda acc, x: acc + x["n_vectors"]
-                ) / SLICE
-            ).alias("slices"),
-            F.filter("s", lambda x: x["leads"]).alias("lead"),
+            slices,
+            leads.alias("lead"),
             F.transform(rest, lambda x: F.struct(x["tid"].alias("tid"), x["w"].alias("w"))).alias("rest"),
             total(rest).alias("rest_best"),
         )
@@ -207,8 +210,8 @@ class SimilarityIndex:
         cells = stage(cells, "cells")
         return None if cells.isEmpty() else cells
 
-    def scores(self, plan: DataFrame) -> DataFrame:
-        """``(qn, vn, score)``: the best K of each slice of every query.
+    def scores(self, plan: DataFrame, of: Column | None = None) -> DataFrame:
+        """``(qn, vn, score)``: the best K of each slice of every query, only of slices that ``of`` allows.
 
         What moves per pair is a few numbers: query, slice, candidate, score so far, and the two
         bounds of the query, with which a hopeless pair is dropped right after its sum is known.
@@ -219,6 +222,8 @@ class SimilarityIndex:
         cells = self._cells(leads)
         offered = self.postings.drop("corpus", "n_ids")
         first = _plain_join(leads, offered) if cells is None else _grid_join(leads, offered, cells)
+        if of is not None:
+            first = first.where(of)
         # both uses of the partial scores below are to stay one plan with one exchange: the bounds
         # are aggregates, so no filter on them moves down, and the later join's null check is here
         partial = (
@@ -253,10 +258,29 @@ class SimilarityIndex:
     def _best_of_slices(self, scored: DataFrame) -> DataFrame:
         return _top(scored, ["qn", "slice"], "score", "vn", self.k_max).select("qn", "vn", "score")
 
+    def _raised(self, plan: DataFrame, first: DataFrame) -> DataFrame:
+        """The plan of sliced queries with ``theta`` raised to the K-th best of their ``first`` slice.
+
+        A vector has one ID at least, so K vectors of that score are K candidates.
+        """
+        best = _top(first, ["qn"], "score", "vn", self.k_max).join(plan.select("qn", F.col("corpus")), "qn")
+        kth = best.where(F.col("rank") == self.k_column()).select("qn", (F.col("score") - SLACK).alias("kth"))
+        bounds = plan.where("slices > 1").select("qn", "qid", "corpus", "s", "slices", "theta").join(kth, "qn", "left")
+        return self._plan(bounds.withColumn("theta", F.greatest("theta", "kth")).drop("kth"))
+
+    def sliced_scores(self, plan: DataFrame) -> DataFrame:
+        """:meth:`scores` of all slices. The first slice of every query goes ahead, and what it reaches bounds the others."""
+        if plan.where("slices > 1").isEmpty():
+            return self.scores(plan)
+        first = stage(self.scores(plan, F.col("slice") == 0), "first-slices")
+        raised = stage(self._raised(plan, first), "raisedplan")
+        return first.unionByName(self.scores(raised, F.col("slice") > 0))
+
     def top_ids(self, queries: DataFrame) -> DataFrame:
         """``(qid, hits)``: up to K ``(rank, c_id, score)`` per distinct query."""
-        plan = stage(self._plan(queries.dropDuplicates(["qid"])), "queryplan")
-        best = _top(self.scores(plan), ["qn"], "score", "vn", self.k_max)
+        bounds = self._bounds(queries.dropDuplicates(["qid"]))
+        plan = stage(self._plan(bounds), "queryplan")
+        best = _top(self.sliced_scores(plan), ["qn"], "score", "vn", self.k_max)
         rows = (
             best.join(self.vectors.select("vn", "corpus", "ids"), "vn")
             .where(F.col("rank") <= self.k_column())

@@ -66,6 +66,16 @@ def vocabulary(counts: DataFrame, corpus_sizes: DataFrame, params: LinkParams) -
 
 def eligible_terms(counts: DataFrame, corpus_sizes: DataFrame, params: LinkParams) -> DataFrame:
     """Terms inside the document-frequency limits. A corpus too small for them has none."""
+    return frequent_terms(counts, corpus_sizes, params).where(~F.col("heavy")).drop("heavy")
+
+
+def frequent_terms(counts: DataFrame, corpus_sizes: DataFrame, params: LinkParams) -> DataFrame:
+    """Terms of at least ``min_df`` documents; ``heavy`` are those above the upper limit.
+
+    Each task adds up its own terms before anything moves, so a term of every document is one row a
+    task. Heavy terms are in more than ``max_df`` of a corpus, so it has at most 1 / ``max_df`` times
+    as many as a document has terms on average.
+    """
     frequencies = (
         counts.where(F.col("n_fit") > 0)
         .groupBy("corpus", "term")
@@ -73,7 +83,7 @@ def eligible_terms(counts: DataFrame, corpus_sizes: DataFrame, params: LinkParam
         .where(F.col("df") >= params.min_df)
     )
     upper = F.lit(params.max_df) * F.col("n")
-    return frequencies.join(corpus_sizes, "corpus").where((upper >= params.min_df) & (F.col("df") <= upper))
+    return frequencies.join(corpus_sizes, "corpus").where(upper >= params.min_df).withColumn("heavy", F.col("df") > upper)
 
 
 def most_frequent(found: DataFrame, n: int) -> DataFrame:
@@ -87,6 +97,10 @@ def idf(n: Column, df: Column) -> Column:
     return F.log((1 + n) / (1 + df)) + 1
 
 
+#: Heavy terms that are sent to every task; more than that are not taken out ahead.
+MOST_HEAVY = 100_000
+
+
 class TermSpace:
     """Fitted vocabulary plus the staged term counts of the candidate texts."""
 
@@ -98,7 +112,10 @@ class TermSpace:
         self.counts = stage(
             term_counts(texts, params.analyzer, ["corpus", "dg"], ["tkey", "n_fit"]).drop("dg"), "terms"
         )
-        self.vocab = self._numbered(eligible_terms(self.counts, sizes, params))
+        found = self._numbered(frequent_terms(self.counts, sizes, params))
+        self.vocab = found.where(~F.col("heavy")).drop("heavy")
+        self.heavy = found.where("heavy").select("corpus", "term")
+        self.few_heavy = 0 < self.heavy.count() <= MOST_HEAVY
         # a table within the limit as a whole needs no count per corpus
         if params.max_features is not None and self.vocab.count() > params.max_features:
             largest = self.vocab.groupBy("corpus").count().agg(F.max("count")).first()[0]
@@ -116,18 +133,24 @@ class TermSpace:
                 "total",
                 idf(F.col("n"), F.col("df")).alias("idf"),
                 F.monotonically_increasing_id().alias("tid"),
+                "heavy",
             ),
             "vocab",
         )
 
+    def without_heavy(self, counts: DataFrame) -> DataFrame:
+        """``counts`` without the terms above the upper document-frequency limit, dropped where they lie."""
+        return counts.join(F.broadcast(self.heavy), ["corpus", "term"], "left_anti") if self.few_heavy else counts
+
     def weigh(self, counts: DataFrame, key: list[str]) -> DataFrame:
         """L2-normalised vectors ``(key..., vec)``, terms in the order (df, term).
 
         The vocabulary is a small staged table: the engine broadcasts it when its file size
-        allows and joins by shuffle when it does not. The sum of squares runs over the ordered
+        allows and joins by shuffle when it does not. Terms too common for the vocabulary, whose rows
+        would meet in one task each, are dropped before. The sum of squares runs over the ordered
         array, so equal texts get bit-equal weights.
         """
-        raw = counts.join(self.vocab, ["corpus", "term"]).groupBy(*key).agg(
+        raw = self.without_heavy(counts).join(self.vocab, ["corpus", "term"]).groupBy(*key).agg(
             F.array_sort(
                 F.collect_list(F.struct("df", "term", "tid", (F.col("tf") * F.col("idf")).alias("x")))
             ).alias("raw")

@@ -446,8 +446,8 @@ def topk_addr(spark, sf):
 
 @register("topk_two_phase", _RANKED + "pn_topk", "pn_topk")
 def topk_two_phase(spark, sf):
-    """Cells so small that most posting and query lists are cut; same answer."""
-    cut = replace(PARAMS, cell_postings=16, cell_queries=16)
+    """Cells and slices so small that most lists are cut and most queries are ranked in two phases; same answer."""
+    cut = replace(PARAMS, cell_postings=16, cell_queries=16, slice_pairs=64)
     return _ranked(blocking.name_stream(*fx.catalog(spark, sf), cut))
 
 

@@ -8,8 +8,10 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from kinmatch.operators import blocking, similarity
+from kinmatch.operators import blocking, tfidf
+from kinmatch.operators.similarity import SimilarityIndex
 from kinmatch.params import LinkParams
+from kinmatch.session import stage
 
 PARAMS = LinkParams(name_k=5, addr_k=4)
 
@@ -85,11 +87,10 @@ def found(df):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("cells,slices", [((32768, 4096), 1_000_000), ((3, 2), 20)])
-def test_top_k_is_exact(spark, monkeypatch, seed, cells, slices):
+def test_top_k_is_exact(spark, seed, cells, slices):
     """Once with everything in one cell and slice, once with lists and queries cut into many."""
-    monkeypatch.setattr(similarity, "SLICE", slices)
     s1, s23 = make(seed, 150)
-    params = replace(PARAMS, cell_postings=cells[0], cell_queries=cells[1])
+    params = replace(PARAMS, cell_postings=cells[0], cell_queries=cells[1], slice_pairs=slices)
     got = found(blocking.name_stream(*frames(spark, s1, s23), params))
     want = {k: v for k, v in brute_force(s1, s23, PARAMS.name_k).items() if v}
     assert got == want
@@ -101,17 +102,49 @@ def test_some_terms_never_lead(spark):
     s23 += [(f"S2-c{i}", f"f{i} f{i + 1}", "us") for i in range(400)]
     s1 = [("S1-1", "rare common", "us"), ("S1-2", "common", "us"), ("S1-3", "f1 f2 rare common", "us")]
     params = replace(PARAMS, name_k=5)
-    from kinmatch.operators.similarity import SimilarityIndex
-
     left, right = frames(spark, s1, s23)
     index = SimilarityIndex(blocking.docs(right, {"name": F.col("nn")}), params, {"name": 5})
     texts = index.query_texts(blocking.docs(left, {"name": F.col("nn")}))
-    plan = index._plan(texts.dropDuplicates(["qid"])).collect()
+    plan = index._plan(index._bounds(texts.dropDuplicates(["qid"]))).collect()
     assert any(r.rest for r in plan)
     got = found(index.top_k(blocking.docs(left, {"name": F.col("nn")})).drop("corpus"))
     assert got == brute_force(s1, s23, 5)
 
 
+def test_first_slice_bounds_the_others(spark):
+    """What the first slice reaches spares the other slices postings, and the answer stays."""
+    s1, s23 = make(3, 400)
+    params = replace(PARAMS, slice_pairs=60)
+    left, right = (blocking.docs(x, {"name": F.col("nn")}) for x in frames(spark, s1, s23))
+    index = SimilarityIndex(right, params, {"name": 5})
+    texts = index.query_texts(left).dropDuplicates(["qid"])
+    plan = stage(index._plan(index._bounds(texts)), "plan")
+    assert plan.where("slices > 1").count() > 10
+    first = stage(index.scores(plan, F.col("slice") == 0), "first")
+    raised = stage(index._raised(plan, first), "raised")
+    assert raised.join(plan.select("qn", F.col("theta").alias("before")), "qn").where("theta > before").count() > 10
+    assert raised.join(plan.select("qn", F.col("slices").alias("before")), "qn").where("slices <> before").count() == 0
+    later = F.col("slice") > 0
+    known, unknown = (stage(index.scores(p, later), "later") for p in (raised, plan))
+    assert 0 < known.count() < unknown.count()
+    want = {k: v for k, v in brute_force(s1, s23, 5).items() if v}
+    assert found(index.top_k(left).drop("corpus")) == want
+
+
+def test_terms_of_every_record_are_dropped_before_the_exchange(spark):
+    rows = [(f"{i:03d}", f"every one u{i % 40} v{i % 30}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "id string, text string").withColumn("corpus", F.lit("name:us"))
+    space = tfidf.TermSpace(docs, PARAMS)
+    assert {r.term for r in space.heavy.collect()} == {"every", "one", "every one"}
+    assert space.few_heavy and space.counts.where("term = 'every'").count() > 0
+    left = space.without_heavy(space.counts)
+    assert left.where("term IN ('every', 'one', 'every one')").count() == 0
+    plan = left.join(space.vocab.hint("merge"), ["corpus", "term"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(corpus") < plan.index("BroadcastHashJoin [corpus")  # outermost first
+    small = tfidf.TermSpace(docs.where("id < '015'"), PARAMS)  # too few documents for the limits
+    assert small.heavy.count() == 0 and small.vocab.count() == 0
+
+
 def test_partitioning_does_not_matter(spark):
     s1, s23 = make(5, 100)
     once = found(blocking.name_stream(*frames(spark, s1, s23, 1), PARAMS))
