@@ -2,8 +2,9 @@
 
 The two models are first-order transition tables over the characters that secrets are made of. They
 are learned from labelled strings: what the fixed patterns find in the corpus is random, everything
-else that is written with the same characters is ordinary. A run of such characters is a finding
-when the log-likelihood ratio of the two models speaks for random.
+else that is written with the same characters is ordinary. A run of such characters, apart from
+what the patterns found in it, is a finding when the log-likelihood ratio of the two models speaks
+for random; if the whole run does not, its stretches with the highest running ratio may.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
+#: A run is one finding if its best stretch is so much of it.
+MOST = 0.6
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
 _SIZE = len(ALPHABET)
@@ -34,9 +37,8 @@ _CODES[[ord(c) for c in ALPHABET]] = np.arange(_SIZE)
 
 @dataclass(frozen=True)
 class Params:
-    """A run is random if it has ``least_chars`` and its ratio is ``total`` nats or more, ``mean`` or more a transition."""
+    """Characters are random if their ratio is ``total`` nats or more, and ``mean`` or more a transition. Nothing else bounds their number."""
 
-    least_chars: int = 20
     total: float = 15.0
     mean: float = 0.6
     smoothing: float = 1.0
@@ -51,10 +53,13 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(spans)
 
 
+def _codes(text: str) -> np.ndarray:
+    return _CODES[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), 127)]
+
+
 def transitions(text: str) -> np.ndarray:
     """Codes of neighbouring characters that both belong to the alphabet."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = _CODES[np.minimum(points, 127)]
+    codes = _codes(text)
     first, second = codes[:-1], codes[1:]
     return (first * _SIZE + second)[(first < _SIZE) & (second < _SIZE)]
 
@@ -87,16 +92,60 @@ def fit(counts: DataFrame, params: Params = Params()) -> np.ndarray:
     return (logs[0] - logs[1]).ravel()
 
 
+def random_stretches(steps: np.ndarray, params: Params) -> list[tuple[int, int]]:
+    """(first, last) character of what is random among the characters that ``steps``, the ratios of their transitions, lie between.
+
+    It is the stretch where the ratio grows most, or all of them where that is most of them and they
+    are random as a whole; then what is left and right of it is looked at.
+    """
+    found, open_ = [], [(0, len(steps))]
+    while open_:
+        begin, end = open_.pop()
+        part = steps[begin:end]
+        if not len(part):
+            continue
+        sums = np.r_[0.0, np.cumsum(part)]
+        grown = sums - np.minimum.accumulate(sums)
+        last = int(np.argmax(grown))
+        if grown[last] < params.total:
+            continue
+        first = int(np.argmin(sums[: last + 1]))
+        if last - first >= MOST * len(part) and sums[-1] >= max(params.total, params.mean * len(part)):
+            found.append((begin, end))
+            continue
+        if grown[last] >= params.mean * (last - first):
+            found.append((begin + first, begin + last))
+        open_ += [(begin, begin + max(first - 1, 0)), (begin + last + 1, end)]
+    return found
+
+
+def _apart(begin: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of begin to end that no span covers; spans come in order."""
+    parts = []
+    for b, _, e in spans:
+        if e > begin and b < end:
+            parts.append((begin, b))
+            begin = max(begin, e)
+    return [(b, e) for b, e in [*parts, (begin, end)] if e - b > 1]
+
+
 def all_spans(text: str, ratio: np.ndarray, params: Params = Params()) -> list[tuple[int, int, int]]:
-    """(begin, kind, end): the base findings and, apart from them, runs that look random."""
+    """(begin, kind, end): the base findings and, apart from them, what looks random."""
     base = [s[:3] for s in base_spans(text)]
+    codes = _codes(text)
+    inside = codes < _SIZE
+    edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    begins, ends = edges[::2], edges[1::2]
+    if not len(begins):
+        return base
+    joined = inside[:-1] & inside[1:]
+    steps = np.where(joined, ratio[np.where(joined, codes[:-1] * _SIZE + codes[1:], 0)], 0.0)
+    # no part of a run reaches more than the sum of its steps for random
+    most = np.r_[0.0, np.cumsum(np.maximum(steps, 0.0))]
     found = []
-    for run in RUN.finditer(text):
-        begin, end = run.span()
-        if end - begin >= params.least_chars and not any(b < end and begin < e for b, _, e in base):
-            steps = ratio[transitions(run[0])]
-            if steps.sum() >= params.total and steps.mean() >= params.mean:
-                found.append((begin, 3, end))
+    for i in np.flatnonzero(most[ends - 1] - most[begins] >= params.total - 1e-6).tolist():
+        for begin, end in _apart(int(begins[i]), int(ends[i]), base):
+            found += [(begin + a, 3, begin + b + 1) for a, b in random_stretches(steps[begin : end - 1], params)]
     return sorted(base + found)
 
 
