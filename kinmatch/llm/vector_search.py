@@ -25,18 +25,20 @@ CANDIDATES = 4096
 QUERIES = 8192
 #: Segments of each level, coarse to fine; the last level is the components themselves.
 LEVELS = (1, 4, 16)
+_MOST = (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     """(vec_id, v): floor(scale * x) of each component x as a double. Vectors null, empty or holding null or not finite numbers are left out.
 
-    Of rows that repeat a vec_id the smallest vector counts; rows without a vec_id are left out.
+    Rows that repeat a vec_id, or a vec_id and its vector, are rows of their own; rows without a
+    vec_id are left out. A component that does not fit 64 bits ends the job.
     """
     x = F.transform("embedding", lambda c: c.cast("double"))
     whole = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    v = F.transform("x", lambda c: F.floor(c * F.lit(float(scale))))
+    v = F.transform("x", lambda c: F.when(F.abs(c) < float(1 << 62) / scale, F.floor(c * F.lit(float(scale)))).otherwise(F.raise_error(F.lit("a component does not fit 64 bits"))))
     usable = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where("vec_id IS NOT NULL AND x IS NOT NULL AND size(x) > 0")
-    return usable.where(whole).select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return usable.where(whole).select("vec_id", v.alias("v"))
 
 
 def segment_statistics(rows: np.ndarray, segments: int) -> np.ndarray:
@@ -52,6 +54,8 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, row
     """(query_id, vec_id, score) of the k best of ``rows`` for each query, ties to smaller ids; a query's own id is left out."""
     order = np.argsort(ids)
     ids, rows = ids[order], rows[order]
+    if int(np.abs(rows).max(initial=0)) * int(np.abs(queries).max(initial=0)) * rows.shape[1] > _MOST:
+        rows, queries = rows.astype(object), queries.astype(object)  # Python's integers, where 64 bits might not do
     wide, wide_queries = rows.astype(np.float64), queries.astype(np.float64)
     sharp = [(segment_statistics(wide_queries, s), segment_statistics(wide, s)) for s in LEVELS]
     # rounding of the bounds: a few units in the last place of the largest possible product
@@ -63,7 +67,7 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, row
         start = np.argpartition(-bound, k + 1)[: k + 1] if len(bound) > k + 1 else np.arange(len(bound))
         start = start[ids[start] != query_id]
         exact = rows[start] @ queries[i]
-        least = np.sort(exact)[-k] if len(exact) >= k else np.iinfo(np.int64).min
+        least = float(np.sort(exact)[-k]) - slack[i] if len(exact) >= k else -np.inf
         alive = np.flatnonzero(bound + slack[i] >= least)
         for of_queries, of_rows in sharp[1:]:
             if len(alive) <= 4 * k:
@@ -73,6 +77,8 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, row
         exact = rows[alive] @ queries[i]
         best = np.argsort(-exact, kind="stable")[:k]  # ids ascend, so ties keep the smaller ones
         out += [(query_id, v, s) for v, s in zip(ids[alive[best]].tolist(), exact[best].tolist(), strict=True)]
+    if any(abs(s) > _MOST for _, _, s in out):
+        raise OverflowError("a score does not fit 64 bits")
     return out
 
 
@@ -81,7 +87,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     Score: integer inner product, ties to the smaller vec_id; a query never finds its own vec_id.
     Vectors of another length than the query's are no candidates. Fewer than k candidates: all.
-    Products are 64-bit: components times components times length must stay below 2^63.
+    Rows that repeat a vec_id are candidates of their own; as queries their answers are ranked
+    together. A score among the k best that does not fit 64 bits ends the job. ``vectors`` should be
+    a staged table: its rows are numbered, so that repeated rows spread over all blocks.
     """
     arrow_settings(vectors.sparkSession)
     vectors = vectors.select("vec_id", "v", F.size("v").alias("length"))
@@ -89,7 +97,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     rows = max(1, -(-vectors.count() // CANDIDATES))
     columns = max(1, -(-queries.count() // QUERIES))
     spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
-    left = vectors.withColumn("row", spread(rows)).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(columns - 1).cast("long"))))
+    left = vectors.withColumn("row", F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(rows))).withColumn("col", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(columns - 1).cast("long"))))
     right = queries.withColumn("col", spread(columns)).withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))))
 
     def cell(key: tuple, candidates: pa.Table, asked: pa.Table) -> pa.Table:
