@@ -6,11 +6,15 @@ record are checked.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE
-from ..sources.tables import LINK_COLUMNS
+from ..session import stage
+from ..sources import tables
+from ..sources.tables import CANDIDATE_COLUMNS, LINK_COLUMNS
 
 EXAMPLES = 5
 
@@ -180,3 +184,117 @@ def validation_report(found: DataFrame, skipped: tuple[str, ...] = ()) -> DataFr
     )
     failed = F.max(((F.col("severity") == "error") & (F.col("total") > 0)).cast("int")).over(Window.partitionBy())
     return report.withColumn("verdict", F.when(failed == 1, "FAIL").otherwise("PASS"))
+
+
+# ---------------------------------------------------------------- both files in one go
+
+FILES = {"links": LINK_COLUMNS, "candidates": CANDIDATE_COLUMNS}
+
+
+def line_findings(lines: DataFrame) -> DataFrame:
+    """``(s1_id, ids, found)`` of every line, in one scan: ``found`` has a ``(rule, item)`` for each rule that the line breaks by itself.
+
+    ``ids`` is null for lines without a tab.
+    """
+    tab, line = F.contains("line", F.lit("\t")), F.col("line")
+    rest = F.substring(line, F.instr("line", "\t") + 1, F.length("line"))
+    ids = F.when(tab & (_trim(rest) == ""), F.array().cast("array<string>")).when(tab, F.split(rest, ","))
+
+    def finding(rule: str, item: Column) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), item.alias("item"))
+
+    def of_ids(rule: str, keep) -> Column:
+        return F.transform(F.filter(F.coalesce("ids", F.array().cast("array<string>")), keep), lambda c: finding(rule, c))
+
+    whole = F.array(
+        F.when(~F.is_valid_utf8("line"), finding("encoding", F.make_valid_utf8("line"))),
+        F.when(~tab & (_trim(line) != ""), finding("malformed", line)),
+        F.when(F.size("ids") != F.size(F.array_distinct("ids")), finding("duplicate_ids", F.col("s1_id"))),
+    )
+    found = F.concat(
+        F.array_compact(whole),
+        of_ids("self_match", lambda c: c.startswith("S1-")),
+        of_ids("prefix", lambda c: ~c.rlike("^S[123]-")),
+    )
+    parsed = lines.select("line", F.when(tab, F.substring_index("line", "\t", 1)).alias("s1_id"), ids.alias("ids"))
+    return parsed.select("s1_id", "ids", found.alias("found"))
+
+
+def _missing(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def validate(
+    spark: SparkSession, links: str, required: DataFrame, candidates: str | None = None, targets: DataFrame | None = None
+) -> DataFrame:
+    """``(file, rule, severity, total, examples, verdict)`` of a link file and, if there is one, a candidate file.
+
+    ``required(entity_id)`` are the records that each file needs once; ``targets(entity_id)`` turns
+    the check on that listed IDs exist. A missing link file is an error, a missing candidate file a
+    warning; a file without a good header is not looked at further. Rules that were not run have a
+    total of -1. Only errors fail the whole.
+
+    Each file is scanned once for what a line shows by itself. The other rules meet in three
+    exchanges for both files together: by record, by listed ID, and by pair.
+    """
+    found, skipped, parsed = [], [("candidates", "subset")], {}
+    for file, path in (("links", links), ("candidates", candidates)):
+        if path is None or _missing(spark, path):
+            if path is not None:
+                found.append(spark.createDataFrame([(file, "missing_file", path)], "file string, rule string, item string"))
+            skipped += [(file, rule) for rule, _ in RULES]
+            continue
+        headers, lines = tables.split_header(tables.read_lines(spark, path))
+        bad = check_header(headers, FILES[file]).select("problem").unionByName(check_empty(headers))
+        if not bad.isEmpty():
+            found.append(bad.select(F.lit(file).alias("file"), F.lit("header").alias("rule"), F.col("problem").alias("item")))
+            skipped += [(file, rule) for rule, _ in RULES if rule != "header"]
+            continue
+        parsed[file] = stage(line_findings(lines).withColumn("file", F.lit(file)), f"validate-{file}")
+    if targets is None:
+        skipped += [(file, "unknown_ids") for file in FILES]
+    if len(parsed) < len(FILES):
+        skipped.append(("links", "subset"))
+
+    if parsed:
+        rows = reduce(DataFrame.unionByName, parsed.values())
+        found.append(rows.select("file", F.explode("found").alias("f")).select("file", "f.rule", "f.item"))
+        names = list(parsed)
+        listed = rows.where("ids IS NOT NULL")
+        one = {file: F.count_if(F.col("file") == file).alias(f"in_{file}") for file in names}
+
+        def findings(of: DataFrame, item: str, rules: dict[tuple[str, str], Column]) -> DataFrame:
+            hits = [F.when(holds, F.struct(F.lit(f).alias("file"), F.lit(r).alias("rule"))) for (f, r), holds in rules.items()]
+            return of.select(F.explode(F.array_compact(F.array(*hits))).alias("h"), F.col(item).alias("item")).select("h.file", "h.rule", "item")
+
+        needed = required.select(F.lit("required").alias("file"), F.col("entity_id").alias("s1_id"))
+        by_record = listed.select("file", "s1_id").unionByName(needed)
+        by_record = by_record.groupBy("s1_id").agg(F.count_if(F.col("file") == "required").alias("needed"), *one.values())
+        rules = {}
+        for f in names:
+            n = F.col(f"in_{f}")
+            rules |= {(f, "duplicate_rows"): n > 1, (f, "missing_s1"): (n == 0) & (F.col("needed") > 0), (f, "extra_s1"): (n > 0) & (F.col("needed") == 0)}
+        found.append(findings(by_record, "s1_id", rules))
+
+        ids = listed.select("file", "s1_id", F.explode("ids").alias("c_id"))
+        if targets is not None:
+            known = targets.select(F.lit("known").alias("file"), F.col("entity_id").alias("c_id"))
+            by_id = ids.where(F.col("c_id").rlike("^S[23]-")).select("file", "c_id").unionByName(known)
+            by_id = by_id.groupBy("c_id").agg(F.count_if(F.col("file") == "known").alias("known"), *one.values())
+            found.append(findings(by_id, "c_id", {(f, "unknown_ids"): (F.col(f"in_{f}") > 0) & (F.col("known") == 0) for f in names}))
+        if len(names) == len(FILES):
+            by_pair = ids.groupBy("s1_id", "c_id").agg(*one.values())
+            found.append(findings(by_pair, "s1_id", {("links", "subset"): (F.col("in_links") > 0) & (F.col("in_candidates") == 0)}))
+
+    everything = stage(reduce(DataFrame.unionByName, found).distinct(), "findings")
+    order = Window.partitionBy("file", "rule").orderBy("item")
+    first = everything.withColumn("at", F.row_number().over(order)).where(F.col("at") <= EXAMPLES)
+    first = first.groupBy("file", "rule").agg(F.array_join(F.sort_array(F.collect_list("item")), ", ").alias("examples"))
+    totals = everything.groupBy("file", "rule").agg(F.count(F.lit(1)).alias("n")).join(first, ["file", "rule"])
+    rules = [(f, r, "warning" if (f, r) == ("candidates", "missing_file") else severity) for f in FILES for r, severity in (("missing_file", "error"), *RULES)]
+    report = spark.createDataFrame(rules, "file string, rule string, severity string").join(totals, ["file", "rule"], "left")
+    off = F.concat_ws(" ", "file", "rule").isin(*(f"{f} {r}" for f, r in skipped))
+    report = report.withColumn("total", F.coalesce("n", F.when(off, -1).otherwise(0).cast("long"))).fillna("", ["examples"])
+    failed = F.max(((F.col("severity") == "error") & (F.col("total") > 0)).cast("int")).over(Window.partitionBy())  # one row a rule
+    return report.select("file", "rule", "severity", "total", "examples", F.when(failed == 1, "FAIL").otherwise("PASS").alias("verdict"))

@@ -946,18 +946,40 @@ def issue_examples(spark, sf):
     return quality.issue_examples(_issues(spark, sf))
 
 
+_RULES = ", ".join(f"('{rule}', '{severity}')" for rule, severity in quality.RULES)
+_VERDICT = "CASE WHEN max((severity = 'error' AND total > 0)::INT) OVER () = 1 THEN 'FAIL' ELSE 'PASS' END AS verdict"
+
+
 @register(
     "validation_report",
-    """SELECT rule, severity, count(item) AS total, 'FAIL' AS verdict FROM (VALUES
-    """
-    + ", ".join(f"('{rule}', '{severity}')" for rule, severity in quality.RULES)
-    + ") r(rule, severity) LEFT JOIN issues USING (rule) GROUP BY rule, severity",
+    f"""SELECT *, {_VERDICT} FROM (SELECT rule, severity, count(item) AS total
+    FROM (VALUES {_RULES}) r(rule, severity) LEFT JOIN issues USING (rule) GROUP BY rule, severity)""",
     "issues",
 )
 def validation_report(spark, sf):
     return quality.validation_report(_issues(spark, sf))
 
 
+@register(
+    "validate",
+    f"""SELECT *, {_VERDICT} FROM (
+    SELECT file, r.rule, severity, CASE WHEN file = 'candidates' AND r.rule = 'subset' THEN -1 ELSE count(item) END AS total
+    FROM (SELECT 'links' AS file, * FROM (VALUES {_RULES}, ('missing_file', 'error')) r(rule, severity)
+    UNION ALL SELECT 'candidates', * FROM (VALUES {_RULES}, ('missing_file', 'warning')) r(rule, severity)) r
+    LEFT JOIN issues i ON i.rule = r.rule AND file = 'links' GROUP BY file, r.rule, severity)""",
+    "issues",
+)
+def validate(spark, sf):
+    """The faulty link lines and the candidate lists, written as files and validated together."""
+    s1, s23 = fx.catalog(spark, sf)
+    links, lists = _path(spark, "links"), _path(spark, "lists")
+    header = "\t".join(tables.LINK_COLUMNS)
+    plain = {"header": True, "sep": "\x01", "quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    fx.link_lines(spark, sf).select(F.col("line").alias(header)).write.options(**plain).csv(links)
+    tables.write_links(tables.candidate_lists(s1, pairs(spark, sf)), lists)
+    return quality.validate(spark, links, s1, lists, s23).drop("examples")
+
+
 @register("source_ids", "SELECT DISTINCT entity_id FROM p_raw WHERE src > 1", "p_raw")
 def source_ids(spark, sf):
     raw = fx.catalog_sources(spark, sf)

@@ -89,3 +89,45 @@ def test_empty_file_and_bad_bytes(spark, tmp_path):
     latin = tmp_path / "latin.tsv"
     latin.write_bytes("source1_entity_id\tmatched_entity_ids\nS1-é\t\n".encode("latin-1"))
     assert quality.check_encoding(tables.read_lines(spark, str(latin))).count() == 1
+
+
+def report(df):
+    rows = df.collect()
+    return {(r.file, r.rule): r.total for r in rows if r.total}, {r.verdict for r in rows}, {(r.file, r.rule): r.examples for r in rows}
+
+
+def test_validate_both_files(spark, world, tmp_path):
+    *_, required, targets, _ = world
+    links, lists = tmp_path / "links.tsv", tmp_path / "lists.tsv"
+    links.write_text("\n".join(LINES) + "\n")
+    lists.write_text("source1_entity_id\tcandidate_entity_ids\n" + "".join(f"S1-{i}\tS2-1\n" for i in range(1, 10)))
+    totals, verdict, examples = report(quality.validate(spark, str(links), required, str(lists), targets))
+    assert totals == {
+        ("links", "malformed"): 1, ("links", "duplicate_rows"): 1, ("links", "duplicate_ids"): 1, ("links", "self_match"): 1,
+        ("links", "prefix"): 2, ("links", "unknown_ids"): 1, ("links", "missing_s1"): 2, ("links", "extra_s1"): 1,
+        ("links", "subset"): 5, ("candidates", "subset"): -1,
+    }
+    assert verdict == {"FAIL"} and examples["links", "subset"] == "S1-1, S1-3, S1-4, S1-5, S1-6"
+    good = tmp_path / "good.tsv"
+    good.write_text("Source1_Entity_ID\t matched_entity_ids\n" + "".join(f"S1-{i}\t{'S2-1' if i < 5 else ''}\n" for i in range(1, 10)))
+    totals, verdict, _ = report(quality.validate(spark, str(good), required, str(lists), targets))
+    assert totals == {("candidates", "subset"): -1} and verdict == {"PASS"}
+
+
+def test_validate_missing_and_bad_files(spark, world, tmp_path):
+    *_, required, _, _ = world
+    rules = [r for r, _ in quality.RULES]
+    good = tmp_path / "good.tsv"
+    good.write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-{i}\t\n" for i in range(1, 10)))
+    off = {("candidates", r): -1 for r in rules} | {("links", "subset"): -1, ("links", "unknown_ids"): -1}
+    totals, verdict, _ = report(quality.validate(spark, str(good), required))
+    assert totals == off and verdict == {"PASS"}
+    totals, verdict, _ = report(quality.validate(spark, str(good), required, str(tmp_path / "none.tsv")))
+    assert totals == off | {("candidates", "missing_file"): 1} and verdict == {"PASS"}
+    totals, verdict, _ = report(quality.validate(spark, str(tmp_path / "none.tsv"), required))
+    assert totals["links", "missing_file"] == 1 and totals["links", "missing_s1"] == -1 and verdict == {"FAIL"}
+    for name, text, problem in (("a", "", "file is empty"), ("b", "source1_entity_id,matched_entity_ids\nS1-1,S2-1\n", "comma separated")):
+        (tmp_path / name).write_text(text)
+        totals, verdict, examples = report(quality.validate(spark, str(tmp_path / name), required))
+        assert totals["links", "header"] == 1 and totals["links", "malformed"] == -1 and verdict == {"FAIL"}
+        assert examples["links", "header"] == problem
