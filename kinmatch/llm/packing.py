@@ -185,7 +185,8 @@ def ranked(staged: DataFrame) -> DataFrame:
     before = F.sum("_n").over(Window.partitionBy("length").orderBy("_chunk")) - F.col("_n")
     starts = stage(counts.select("length", "_chunk", before.alias("_before")), "rank-starts")
     within = F.row_number().over(Window.partitionBy("length", "_chunk").orderBy("_row")) - 1
-    numbered = placed.withColumn("_within", within).join(starts, ["length", "_chunk"])
+    # rows are partitioned as the window left them; the starts grow with the files, so they are not broadcast
+    numbered = placed.withColumn("_within", within).join(starts.hint("merge"), ["length", "_chunk"])
     return numbered.select(*staged.columns, (F.col("_before") + F.col("_within")).alias("rank"))
 
 
