@@ -29,20 +29,23 @@ UNIT = 1_000_000_000
 #: Groups and terms (on average) of a block.
 GROUPS = 32
 TERMS = 4096
-#: Counts that a task holds before it hands them on.
-HELD = 300_000
+#: Counts that a task holds before it hands them on: about 100 MB.
+HELD = 600_000
+#: A held count is occurrences << DOCS_BITS | documents.
+DOCS_BITS = 40
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums (occurrences, documents) by language, source and term; a null term stands for the group itself."""
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+    held: dict[tuple[str, str], dict[bytes, int]] = {}
 
     def hand_on() -> Iterator[pa.RecordBatch]:
         for (lang, source), terms in held.items():
-            columns = [[None, *terms], [0, *(x[0] for x in terms.values())], [0, *(x[1] for x in terms.values())]]
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64()), strict=True)]
-            of_group = [pa.array([x] * (len(terms) + 1), pa.string()) for x in (lang, source)]
-            yield pa.RecordBatch.from_arrays([*of_group, arrays[0].cast(pa.string()), *arrays[1:]], ["lang", "source", "term", "n", "docs"])
+            counts = terms.values()
+            n, docs = [0, *(x >> DOCS_BITS for x in counts)], [0, *(x & (1 << DOCS_BITS) - 1 for x in counts)]
+            of_group = [pa.array([x], pa.string()).take(pa.array([0] * len(n))) for x in (lang, source)]
+            columns = [*of_group, pa.array([None, *terms], pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
         held.clear()
 
     size = 0
@@ -52,11 +55,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             terms = held.setdefault((lang, source), {})
             before = len(terms)
             for term, n in Counter(m.group() for m in TERM.finditer(text.as_py().lower())).items():
-                if (sums := terms.get(term)) is None:
-                    terms[term] = [n, 1]
-                else:
-                    sums[0] += n
-                    sums[1] += 1
+                terms[term] = terms.get(term, 0) + (n << DOCS_BITS) + 1
             size += len(terms) - before
             if size > HELD:
                 yield from hand_on()
