@@ -1063,3 +1063,27 @@ def volume_profile(spark, sf):
 )
 def link_errors(spark, sf):
     return reports.link_errors(links(spark, sf), tables.truth_pairs(truth(spark, sf)))
+
+
+@register(
+    "report",
+    """SELECT *, round(n_found / greatest(n_true, 1), 6) AS recall, round(n_right / greatest(n_links, 1), 6) AS precision FROM (
+    SELECT CASE WHEN grouping(src) = 1 THEN '*' ELSE src::VARCHAR END AS src, CASE WHEN grouping(cc) = 1 THEN '*' ELSE cc END AS cc,
+      count(*) AS n_records, coalesce(sum(n_pairs), 0)::BIGINT AS n_pairs, coalesce(sum(n_links), 0)::BIGINT AS n_links,
+      coalesce(sum(n_true), 0)::BIGINT AS n_true, coalesce(sum(n_found), 0)::BIGINT AS n_found, coalesce(sum(n_right), 0)::BIGINT AS n_right,
+      count(*) FILTER (src = 1 AND coalesce(n_links, 0) = 0) AS n_single
+    FROM (SELECT src, cc, e.* FROM p_rec r LEFT JOIN (
+      SELECT s1_id, sum(pair) AS n_pairs, sum(link) AS n_links, sum(hit) AS n_true, sum(pair * hit) AS n_found, sum(link * hit) AS n_right
+      FROM (SELECT s1_id, c_id, max(pair) AS pair, max(link) AS link, max(hit) AS hit FROM (
+        SELECT s1_id, c_id, 1 AS pair, 0 AS link, 0 AS hit FROM p_pairs UNION ALL SELECT s1_id, c_id, 0, 1, 0 FROM p_links
+        UNION ALL SELECT s1_id, c_id, 0, 0, 1 FROM p_truth_pairs) GROUP BY s1_id, c_id) GROUP BY s1_id) e
+      ON r.src = 1 AND r.entity_id = e.s1_id) GROUP BY GROUPING SETS ((src, cc), (src), (cc), ()))""",
+    "p_rec",
+    "p_pairs",
+    "p_links",
+    "p_truth_pairs",
+)
+def report(spark, sf):
+    s1, s23 = fx.catalog(spark, sf)
+    found = reports.report(s1, s23, pairs(spark, sf), links(spark, sf), tables.truth_pairs(truth(spark, sf)))
+    return found.withColumn("recall", F.round("recall", 6)).withColumn("precision", F.round("precision", 6))
