@@ -7,6 +7,8 @@ together and an unseen country needs no special case.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,10 +74,13 @@ def stream(s1: DataFrame, s23: DataFrame, fields: dict[str, Column], k_of: dict[
     return index.top_k(docs(s1, fields))
 
 
-def _once(s1: DataFrame, s23: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _slim(records: DataFrame, name: str) -> DataFrame:
     """Normalise once: several passes read these columns."""
-    columns = ("entity_id", "src", "nn", "na", "cc")
-    return stage(s1.select(*columns), "s1"), stage(s23.select(*columns), "s23")
+    return stage(records.select("entity_id", "src", "nn", "na", "cc"), name)
+
+
+def _once(s1: DataFrame, s23: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return _slim(s1, "s1"), _slim(s23, "s23")
 
 
 def name_stream(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams()) -> DataFrame:
@@ -124,18 +129,34 @@ def _exact_rows(s1: DataFrame, s23: DataFrame, cap: int) -> DataFrame:
     )
 
 
-def block(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams()) -> DataFrame:
-    """Candidate pairs of every source-1 record, in list order."""
-    s1, s23 = _once(s1, s23)
-    fields = {"name": F.col("nn"), "addr": F.col("na")}
-    similar = stream(s1, s23, fields, {"name": params.name_k, "addr": params.addr_k}, params).select(
+@dataclass(frozen=True)
+class Prepared:
+    """The candidate side of :func:`block`: normalised records and their index, for any number of source-1 tables."""
+
+    s23: DataFrame
+    index: SimilarityIndex
+
+
+def _both_fields() -> dict[str, Column]:
+    return {"name": F.col("nn"), "addr": F.col("na")}
+
+
+def prepare(s23: DataFrame, params: LinkParams = LinkParams()) -> Prepared:
+    s23 = _slim(s23, "s23")
+    return Prepared(s23, SimilarityIndex(docs(s23, _both_fields()), params, {"name": params.name_k, "addr": params.addr_k}))
+
+
+def block(s1: DataFrame, s23: DataFrame, params: LinkParams = LinkParams(), prepared: Prepared | None = None) -> DataFrame:
+    """Candidate pairs of every source-1 record, in list order. ``prepared`` stands for ``s23`` if given."""
+    s1, prepared = _slim(s1, "s1"), prepared or prepare(s23, params)
+    similar = prepared.index.top_k(docs(s1, _both_fields())).select(
         "s1_id",
         "c_id",
         F.when(F.col("corpus").startswith("name:"), NAME).otherwise(ADDR).alias("stream"),
         "rank",
         "score",
     )
-    merged = merge_streams(_exact_rows(s1, s23, params.cap).unionByName(similar), params.cap)
+    merged = merge_streams(_exact_rows(s1, prepared.s23, params.cap).unionByName(similar), params.cap)
     return merged.withColumn("cosine", pair_cosine(params.addr_weight))
 
 

@@ -29,9 +29,18 @@ def apply_threshold(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.where(F.coalesce("prob", F.lit(0.0)) >= threshold).select("s1_id", "c_id", "pos", "prob")
 
 
-def match(s1: DataFrame, s23: DataFrame, matcher: Matcher, params: LinkParams = LinkParams()) -> tuple[DataFrame, DataFrame]:
-    """``(candidate pairs, linked pairs)`` of every source-1 record, all countries in one run."""
-    pairs = stage(blocking.block(s1, s23, params), "pairs")  # both results hang on it
+def match(
+    s1: DataFrame,
+    s23: DataFrame,
+    matcher: Matcher,
+    params: LinkParams = LinkParams(),
+    prepared: blocking.Prepared | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``(candidate pairs, linked pairs)`` of every source-1 record, all countries in one run.
+
+    ``prepared`` is the candidate side of ``s23`` where several tables are matched against it.
+    """
+    pairs = stage(blocking.block(s1, s23, params, prepared), "pairs")  # both results hang on it
     scored = score(matcher.model, features.pair_features(pairs, s1, s23))
     return pairs, apply_threshold(scored, params.threshold if matcher.threshold is None else matcher.threshold)
 

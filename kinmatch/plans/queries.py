@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import blocking, evaluate, features, inference, quality, reports, tfidf, training
+from ..operators.runs import PartRun
 from ..operators.similarity import SimilarityIndex
 from ..params import FEATURES, LinkParams
 from ..session import shared_folder, stage, tune
@@ -834,6 +835,31 @@ def match_slice(spark, sf):
     return tables.link_lists(part, linked).drop("ord")
 
 
+@register(
+    "match_parts",
+    """WITH s AS (SELECT cc, row_number() OVER (PARTITION BY cc ORDER BY ord) - 1 AS spot, count(*) OVER (PARTITION BY cc) AS n,
+    CAST(ceil(count(*) OVER () / 5.0) AS BIGINT) AS size FROM p_rec WHERE src = 1)
+    SELECT CASE WHEN n > size THEN 'country:' || cc || ':' || (spot // size) ELSE 'countries:0' END AS part,
+    count(*) AS n_records, CAST(1 AS BIGINT) AS n_attempts, CAST(0 AS BIGINT) AS n_other FROM s GROUP BY part""",
+    "p_rec",
+)
+def match_parts(spark, sf):
+    """Matched in parts, broken off after two and started again: attempts a part, and records whose lists are not those of one whole run."""
+    s1, s23 = fx.catalog(spark, sf)
+    matcher = _matcher(spark, sf)
+    size = -(-s1.count() // 5)
+    folder = _path(spark, "parts")
+    PartRun(s1, s23, matcher, folder, size, PARAMS, _by_order()).go(most=2)
+    run = PartRun(s1, s23, matcher, folder, size, PARAMS, _by_order())
+    run.go()
+    candidates, linked = inference.match(s1, s23, matcher, PARAMS)
+    whole = tables.candidate_lists(s1, candidates).drop("ord").join(tables.link_lists(s1, linked).drop("ord"), "source1_entity_id")
+    other = run.merged().select(*whole.columns).exceptAll(whole).select(F.col("source1_entity_id").alias("entity_id"), F.lit(1).alias("other"))
+    attempts = run.manifest().groupBy("part").agg(F.count(F.lit(1)).alias("n_attempts"))
+    counts = run.rows.join(other, "entity_id", "left").groupBy("part").agg(F.count(F.lit(1)).alias("n_records"), F.count("other").alias("n_other"))
+    return counts.join(attempts, "part", "left")
+
+
 @register("rescore")
 def rescore(spark, sf):
     s1, s23 = fx.catalog(spark, sf)
