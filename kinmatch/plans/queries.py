@@ -837,17 +837,17 @@ def match_slice(spark, sf):
 
 @register(
     "match_parts",
-    """WITH s AS (SELECT cc, row_number() OVER (PARTITION BY cc ORDER BY ord) - 1 AS spot, count(*) OVER (PARTITION BY cc) AS n,
-    CAST(ceil(count(*) OVER () / 5.0) AS BIGINT) AS size FROM p_rec WHERE src = 1)
-    SELECT CASE WHEN n > size THEN 'country:' || cc || ':' || (spot // size) ELSE 'countries:0' END AS part,
-    count(*) AS n_records, CAST(1 AS BIGINT) AS n_attempts, CAST(0 AS BIGINT) AS n_other FROM s GROUP BY part""",
+    """SELECT CASE WHEN n > size THEN 'country:' || cc || ':' || (spot // size) ELSE 'countries:0' END AS part,
+    count(*) AS n_records, CAST(1 AS BIGINT) AS n_attempts, CAST(0 AS BIGINT) AS n_other FROM (
+    SELECT cc, row_number() OVER (PARTITION BY cc ORDER BY ord) - 1 AS spot, count(*) OVER (PARTITION BY cc) AS n,
+    CAST(ceil(count(*) OVER () / 3.0) AS BIGINT) AS size FROM p_rec WHERE src = 1) GROUP BY part""",
     "p_rec",
 )
 def match_parts(spark, sf):
     """Matched in parts, broken off after two and started again: attempts a part, and records whose lists are not those of one whole run."""
     s1, s23 = fx.catalog(spark, sf)
     matcher = _matcher(spark, sf)
-    size = -(-s1.count() // 5)
+    size = -(-s1.count() // 3)
     folder = _path(spark, "parts")
     PartRun(s1, s23, matcher, folder, size, PARAMS, _by_order()).go(most=2)
     run = PartRun(s1, s23, matcher, folder, size, PARAMS, _by_order())

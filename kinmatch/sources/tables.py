@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from . import quoted
 
 SOURCE_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 LINK_COLUMNS = ("source1_entity_id", "matched_entity_ids")
@@ -43,12 +44,21 @@ def _read(spark: SparkSession, path: str | list[str], columns: tuple[str, ...],
     return raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns], _position())
 
 
-def read_source(spark: SparkSession, path: str | list[str], nrows: int | None = None, multiline: bool = False) -> DataFrame:
+def _read_quoted(spark: SparkSession, path: str | list[str], columns: tuple[str, ...]) -> DataFrame:
+    records = quoted.read_records(spark, path).where("NOT header")
+    fields = F.from_csv("record", ", ".join(f"{c} string" for c in columns), {"sep": "\t", "escape": '"', "multiLine": "true"})
+    return records.select(fields.alias("r"), "ord").select(*[F.coalesce(f"r.{c}", F.lit("")).alias(c) for c in columns], "ord")
+
+
+def read_source(
+    spark: SparkSession, path: str | list[str], nrows: int | None = None, multiline: bool = False, quoted_breaks: bool = False
+) -> DataFrame:
     """A source table: all text, empties kept as empty text, optionally the first ``nrows`` rows.
 
-    ``multiline`` allows line breaks inside quoted fields; such files cannot be split.
+    Both ``quoted_breaks`` and ``multiline`` allow line breaks inside quoted fields: the first splits files and
+    shuffles their lines once, the second reads each file in one task.
     """
-    table = _read(spark, path, SOURCE_COLUMNS, multiline)
+    table = _read_quoted(spark, path, SOURCE_COLUMNS) if quoted_breaks else _read(spark, path, SOURCE_COLUMNS, multiline)
     return table if nrows is None else table.orderBy("ord").limit(nrows)
 
 
