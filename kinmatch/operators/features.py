@@ -6,7 +6,7 @@ expressions; only LCS length and best-window ratio leave the JVM, all in one Arr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -126,15 +126,20 @@ def add_features(sided: DataFrame) -> DataFrame:
     return string_scores(sided).withColumns(set_scores())
 
 
-def both_sides(pairs: DataFrame, s1: DataFrame, s23: DataFrame, strict: bool = True) -> DataFrame:
+def both_sides(pairs: DataFrame, s1: DataFrame, s23: DataFrame, strict: bool = True, unresolved: Observation | None = None) -> DataFrame:
     """Attach the normalised fields of both records to ``pairs(s1_id, c_id, ...)``.
 
-    A candidate ID that no record has fails the job, or with ``strict=False`` drops the pair.
+    A candidate ID that no record has fails the job, or with ``strict=False`` drops the pair; ``unresolved``
+    then holds the number of dropped ones as ``n_unresolved`` once the result was used, without a job of its own.
     """
     left = s1.select(F.col("entity_id").alias("s1_id"), F.col("nn").alias("nn1"), F.col("na").alias("na1"), F.col("cc").alias("cc1"))
     right = s23.select(F.col("entity_id").alias("c_id"), F.col("nn").alias("nn2"), F.col("na").alias("na2"), F.col("cc").alias("cc2"))
-    if not strict:
+    if not strict and unresolved is None:
         return pairs.join(left, "s1_id").join(right, "c_id")
+    if not strict:
+        marked = pairs.join(left.withColumn("_left", F.lit(1)), "s1_id", "left").join(right.withColumn("_right", F.lit(1)), "c_id", "left")
+        known = F.col("_left").isNotNull() & F.col("_right").isNotNull()
+        return marked.observe(unresolved, F.count_if(~known).alias("n_unresolved")).where(known).drop("_left", "_right")
     met = pairs.join(left, "s1_id", "left").join(right, "c_id", "left")
 
     def sure(column: str, key: str) -> Column:
@@ -144,12 +149,12 @@ def both_sides(pairs: DataFrame, s1: DataFrame, s23: DataFrame, strict: bool = T
     return met.withColumn("nn1", sure("nn1", "s1_id")).withColumn("nn2", sure("nn2", "c_id"))
 
 
-def pair_features(pairs: DataFrame, s1: DataFrame, s23: DataFrame, strict: bool = True) -> DataFrame:
-    """``pairs`` plus the 16 feature columns. A pair without a cosine gets 0."""
+def pair_features(pairs: DataFrame, s1: DataFrame, s23: DataFrame, strict: bool = True, unresolved: Observation | None = None) -> DataFrame:
+    """``pairs`` plus the 16 feature columns. A pair without a cosine gets 0; ``strict`` and ``unresolved`` as in :func:`both_sides`."""
     if "cosine" not in pairs.columns:
         pairs = pairs.withColumn("cosine", F.lit(0.0))
     extra = [c for c in pairs.columns if c not in FEATURES]
-    return add_features(both_sides(pairs, s1, s23, strict)).select(*extra, *FEATURES)
+    return add_features(both_sides(pairs, s1, s23, strict, unresolved)).select(*extra, *FEATURES)
 
 
 def pair_features_raw(pairs: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..params import LinkParams
@@ -69,14 +69,17 @@ def rescore(
     stored: DataFrame | None = None,
     strict: bool = True,
     params: LinkParams = LinkParams(),
+    unresolved: Observation | None = None,
 ) -> DataFrame:
     """Score stored candidate lists again, without blocking: linked pairs.
 
+    With ``strict=False`` unknown candidate IDs are dropped; ``unresolved`` counts them in the job that uses the result.
+
     The cosine is 0 unless ``stored(s1_id, c_id, cosine)`` brings it along. A matcher without a
     cut-off takes ``params.rescore_threshold``.
     """
     pairs = tables.explode_lists(lists, s1)
     if stored is not None:
         pairs = pairs.join(stored.select("s1_id", "c_id", "cosine"), ["s1_id", "c_id"], "left")
-    scored = score(matcher.model, features.pair_features(pairs, s1, s23, strict))
+    scored = score(matcher.model, features.pair_features(pairs, s1, s23, strict, unresolved))
     return apply_threshold(scored, params.rescore_threshold if matcher.threshold is None else matcher.threshold)

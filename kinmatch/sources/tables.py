@@ -6,7 +6,7 @@ files: (file, block, row), which sorts in file order without a numbering pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,14 +200,15 @@ def write_parts(lists: DataFrame, path: str) -> None:
     )
 
 
-def merge_parts(s1: DataFrame, parts: DataFrame, column: str = "matched_entity_ids") -> DataFrame:
+def merge_parts(s1: DataFrame, parts: DataFrame, column: str = "matched_entity_ids", missing: Observation | None = None) -> DataFrame:
     """Union of part rows ``(source1_entity_id, <column>, part_id)`` in source-1 order.
 
     Of several rows for one record that of the last part counts; a record without one gets an
-    empty list and ``found`` = 0.
+    empty list and ``found`` = 0. ``missing`` holds their number as ``n_missing``, and that of empty lists as
+    ``n_empty``, once the result was written or otherwise used in whole.
     """
     last = parts.groupBy("source1_entity_id").agg(F.max_by(column, "part_id").alias(column))
-    return (
+    merged = (
         s1.select(F.col("entity_id").alias("source1_entity_id"), "ord")
         .join(last, "source1_entity_id", "left")
         .select(
@@ -217,6 +218,9 @@ def merge_parts(s1: DataFrame, parts: DataFrame, column: str = "matched_entity_i
             "ord",
         )
     )
+    if missing is None:
+        return merged
+    return merged.observe(missing, F.count_if(F.col("found") == 0).alias("n_missing"), F.count_if(F.col(column) == "").alias("n_empty"))
 
 
 def missing_parts(merged: DataFrame) -> DataFrame:

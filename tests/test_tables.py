@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from kinmatch.operators import inference
+from kinmatch.operators import features, inference
 from kinmatch.sources import tables
 
 HEAD = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
@@ -86,6 +87,9 @@ def test_parts(spark, s1, tmp_path):
     assert tables.missing_parts(tables.merge_parts(s1, some)).count() == 3
     with pytest.raises(ValueError):
         tables.merge_complete(s1, some)
+    counted = Observation()
+    assert len(tables.merge_parts(s1, some, missing=counted).collect()) == 6
+    assert counted.get == {"n_missing": 3, "n_empty": 3}
 
 
 def test_slice(s1):
@@ -97,3 +101,15 @@ def test_slice(s1):
 def test_slice_by_file_block(spark, source):
     records = tables.records(tables.read_source(spark, source)).withColumn("cc", F.lit("x"))
     assert [r.entity_id for r in inference.slice_s1(records, "x", 1, 2).collect()] == ["S1-2"]
+
+
+def test_unresolved_pairs_are_counted_in_the_same_job(spark):
+    s1 = spark.createDataFrame([("S1-1", "a b", "", "us")], "entity_id string, nn string, na string, cc string")
+    s23 = spark.createDataFrame([("S2-1", "a b", "x", "us")], "entity_id string, nn string, na string, cc string")
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S2-9"), ("S1-7", "S2-1")], "s1_id string, c_id string")
+    counted = Observation()
+    found = features.pair_features(pairs, s1, s23, strict=False, unresolved=counted)
+    assert [(r.s1_id, r.c_id, r.name_exact) for r in found.collect()] == [("S1-1", "S2-1", 1.0)]
+    assert counted.get == {"n_unresolved": 2}
+    with pytest.raises(Exception, match="no record for"):
+        features.pair_features(pairs, s1, s23).collect()
