@@ -220,7 +220,8 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
     """
     arrow_settings(spark)
     known = entries(spark, folder)
-    scan = _segments(spark, folder).withColumn("seq", F.monotonically_increasing_id()).join(known, ["file", "block"])
+    # one row a split, as many as the file listing that the driver holds; a join by exchange could cut a split's segments apart (skew handling)
+    scan = _segments(spark, folder).withColumn("seq", F.monotonically_increasing_id()).join(F.broadcast(known), ["file", "block"])
     walked = scan.sortWithinPartitions("file", "block", "seq").select("file", "block", "base", "entry", "content").mapInArrow(_walk(with_payload), _SCHEMA)
     walked = stage(walked, "records")
     whole = walked.where("record_type IS NOT NULL AND missing = 0").drop("missing")

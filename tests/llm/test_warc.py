@@ -66,6 +66,26 @@ def test_many_small_records_over_many_splits(spark, split_bytes):
     assert sorted((tuple(r) for r in found.collect()), key=str) == expected(rows)
 
 
+def test_splits_stay_whole_under_skew_handling(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    rows = [(i, "u", f"{i}" + FAKE * (i % 5) + "é" * 300) for i in range(300)]
+    folder = round_trip(spark, rows)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = warc.pages_of(warc.read(spark, folder))
+        assert sorted((tuple(r) for r in found.collect()), key=str) == expected(rows)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_least_bytes_and_empty(spark):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")]
     found = warc.pages_of(warc.read(spark, round_trip(spark, rows, 3)))
