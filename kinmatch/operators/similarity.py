@@ -53,25 +53,25 @@ class SimilarityIndex:
         self.k_of = k_of
         self.k_max = max(k_of.values())
         self.space = tfidf.TermSpace(docs, params)
-        self.vectors = stage(self._vectors(docs), "vectors")
-        self.postings = self.vectors.select(
-            "corpus", "vn", F.size("ids").alias("n_ids"), F.explode("vec").alias("t")
-        ).select("corpus", "vn", "n_ids", F.col("t.tid").alias("tid"), F.col("t.w").alias("w"))
+        self.vectors, self.postings = self._written(docs)
+        self.stats = stage(self._stats(), "termstats")
 
     def k_column(self) -> Column:
         field = F.substring_index("corpus", ":", 1)
         pairs = [item for name, k in self.k_of.items() for item in (F.lit(name), F.lit(k))]
         return F.element_at(F.create_map(*pairs), field)
 
-    def _vectors(self, docs: DataFrame) -> DataFrame:
-        """``(corpus, vn, vec, ids)``: a vector and the smallest IDs that have it.
+    def _written(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """``(corpus, vn, ids)``, a vector's smallest IDs, and its postings ``(corpus, vn, n_ids, tid, w)``, both staged.
 
         Vectors are numbered in the order of their first ID, so the short number ``vn`` breaks
-        ties exactly as the ID would.
+        ties exactly as the ID would. Only digests of vectors are grouped and sorted; the vector itself
+        is that of the text whose first ID is also the vector's first, and is taken apart once.
         """
         per_text = self.space.weigh(self.space.counts, ["corpus", "tkey"]).select(
             "corpus", "tkey", F.transform("vec", lambda t: F.struct(t["tid"].alias("tid"), t["w"].alias("w"))).alias("vec")
         )
+        per_text = stage(per_text.withColumn("vd", tfidf.digest(F.col("vec").cast("string"))), "textvectors")
         keyed = docs.select("corpus", "id", tfidf.digest(F.col("text")).alias("dg"))
         text_ids = (
             tfidf.first_ids(keyed, ["corpus", "dg"], "id", self.k_max)
@@ -79,14 +79,18 @@ class SimilarityIndex:
             .agg(F.sort_array(F.collect_list("id")).alias("ids"))
             .select("corpus", F.col("ids")[0].alias("tkey"), "ids")
         )
-        rows = per_text.join(text_ids, ["corpus", "tkey"]).select("corpus", "vec", F.explode("ids").alias("id"))
-        return (
-            tfidf.first_ids(rows, ["corpus", "vec"], "id", self.k_max)
-            .groupBy("corpus", "vec")
+        rows = per_text.select("corpus", "tkey", "vd").join(text_ids, ["corpus", "tkey"]).select("corpus", "vd", F.explode("ids").alias("id"))
+        ids = (
+            tfidf.first_ids(rows, ["corpus", "vd"], "id", self.k_max)
+            .groupBy("corpus", "vd")
             .agg(F.sort_array(F.collect_list("id")).alias("ids"))
             .orderBy(F.col("ids")[0])
-            .select("corpus", F.monotonically_increasing_id().alias("vn"), "vec", "ids")
+            .select("corpus", F.monotonically_increasing_id().alias("vn"), "ids")
         )
+        vectors = stage(ids, "vectors")
+        firsts = vectors.select("corpus", F.col("ids")[0].alias("tkey"), "vn", F.size("ids").alias("n_ids"))
+        postings = per_text.drop("vd").join(firsts, ["corpus", "tkey"]).select("corpus", "vn", "n_ids", F.explode("vec").alias("t"))
+        return vectors, stage(postings.select("corpus", "vn", "n_ids", "t.tid", "t.w"), "postings")
 
     def _stats(self) -> DataFrame:
         """Per term: number of vectors, largest weight, weight of the K-th ID (0 when fewer)."""
@@ -126,7 +130,7 @@ class SimilarityIndex:
         """``(qn, qid, corpus, s, theta)``: a short number ``qn`` per query, its terms in falling order of their best case, and a score that it is sure to reach."""
         best = (
             queries.select("qid", "corpus", F.explode("slots").alias("s"))
-            .join(self._stats(), F.col("s.tid") == F.col("tid"))
+            .join(self.stats, F.col("s.tid") == F.col("tid"))
             .select(
                 "qid",
                 "corpus",
@@ -224,23 +228,19 @@ class SimilarityIndex:
         first = _plain_join(leads, offered) if cells is None else _grid_join(leads, offered, cells)
         if of is not None:
             first = first.where(of)
-        # both uses of the partial scores below are to stay one plan with one exchange: the bounds
-        # are aggregates, so no filter on them moves down, and the later join's null check is here
         partial = (
-            first.where(F.col("qn").isNotNull())
-            .repartition("qn", "slice")
+            first.repartition("qn", "slice")
             .groupBy("qn", "slice", "vn")
             .agg(F.sum("part").alias("part"), F.max("theta").alias("theta"), F.max("rest_best").alias("rest_best"))
             .where(F.col("part") + F.col("rest_best") >= F.col("theta"))
         )
-        unfinished = plan.where(F.col("rest_best") > 0)
-        if unfinished.isEmpty():
+        if plan.where(F.col("rest_best") > 0).isEmpty():
             return self._best_of_slices(partial.withColumnRenamed("part", "score"))
-        done = partial.where("rest_best = 0").withColumnRenamed("part", "score")
+        # a pair that lacks no term passes as one row without a term: its key still has ``vn``, so such rows
+        # spread over all tasks, and the sums above are made once
         wanted = (
-            partial.where("rest_best > 0")
-            .join(unfinished.select("qn", "rest"), "qn")
-            .select("qn", "slice", "vn", "part", "theta", F.explode("rest").alias("t"))
+            partial.join(plan.select("qn", "rest"), "qn")
+            .select("qn", "slice", "vn", "part", "theta", F.explode_outer("rest").alias("t"))
             .select("qn", "slice", "vn", "part", "theta", F.col("t.tid").alias("tid"), F.col("t.w").alias("qw"))
         )
         finished = (
@@ -253,7 +253,7 @@ class SimilarityIndex:
             )
             .where(F.col("score") >= F.col("theta"))
         )
-        return self._best_of_slices(done).unionByName(self._best_of_slices(finished))
+        return self._best_of_slices(finished)
 
     def _best_of_slices(self, scored: DataFrame) -> DataFrame:
         return _top(scored, ["qn", "slice"], "score", "vn", self.k_max).select("qn", "vn", "score")
