@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kinmatch.session import stage
 
-__all__ = ["arrow_settings", "components", "in_batches", "per_batch", "rows_in_order", "stage", "table", "text_or_empty"]
+__all__ = ["arrow_settings", "components", "in_batches", "per_batch", "rows_in_order", "split_by", "stage", "table", "text_or_empty", "without"]
 
 #: Rows and bytes of one Arrow batch, so that a batch of very long texts stays small in the Python worker.
 BATCH_ROWS = 1000
@@ -61,6 +61,38 @@ def in_batches(rows: Iterable[tuple], fields: list[tuple[str, pa.DataType]], siz
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], names)
 
 
+#: A sketch has at least one block of bits and at most this many: 4 KiB each, 16 MiB in all.
+BLOCK_BITS = 1 << 15
+MOST_BLOCKS = 1 << 12
+
+
+def split_by(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two: those whose ``key`` may be in ``keys``, and those whose key is surely not; nothing is shuffled.
+
+    The keys are hashed into a bitmap of 32 to 64 bits a key, at most 16 MiB however many they are, which is
+    broadcast. Its misses are certain, its hits are not: the first part still has to be joined with ``keys``. More
+    than some ten million keys fill the bitmap, and then more and more rows are in the first part; the answer
+    of that join stays the same. A null key is hashed like any other. ``keys`` is read twice, so it should be staged.
+    """
+    wanted = max(1, -(-keys.count() * 32 // BLOCK_BITS))
+    blocks = min(MOST_BLOCKS, 1 << (wanted - 1).bit_length())
+    place = F.pmod(F.xxhash64(key, F.lit(7)), F.lit(blocks * BLOCK_BITS))
+    hashed = keys.select(place.alias("p")).select(F.expr(f"int(p div {BLOCK_BITS})").alias("_block"), F.expr(f"int(p % {BLOCK_BITS})").alias("b"))
+    bitmap = hashed.groupBy("_block").agg(F.bitmap_construct_agg("b").alias("_bits"))
+    bitmap = F.broadcast(stage(bitmap, "sketch"))  # at most MOST_BLOCKS rows of 4 KiB
+    asked = rows.withColumn("_p", place).withColumn("_block", F.expr(f"int(_p div {BLOCK_BITS})")).join(bitmap, "_block", "left")
+    byte = F.expr(f"int(conv(hex(substring(_bits, 1 + int((_p % {BLOCK_BITS}) div 8), 1)), 16, 10))")
+    maybe = F.coalesce(F.expr("_byte >> int(_p % 8)").bitwiseAND(1) == 1, F.lit(False))
+    told = asked.withColumn("_byte", byte).withColumn("_maybe", maybe)
+    return told.where("_maybe").select(*rows.columns), told.where("NOT _maybe").select(*rows.columns)
+
+
+def without(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not in ``keys``, a staged table; only rows that may be in it are shuffled."""
+    maybe, surely_not = split_by(rows, keys, key)
+    return surely_not.unionByName(maybe.join(keys.hint("merge"), key, "left_anti"))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root) of every node in ``edges`` (a, b): root is the smallest node of its component.
 

@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.common import stage, text_or_empty
+from kinmatch.llm.common import split_by, stage, text_or_empty, without
 from kinmatch.session import scratch_path, settled
 
 _STATE = {
@@ -94,19 +94,21 @@ def exact_duplicates(docs: DataFrame, digest_of: Callable[[Column], Column] = sh
         return _rows(arrivals.select("digest", "arrival", F.col("arrival").alias("first"), F.lit(1).cast("long").alias("n")))
     held = stage(_state_of(arrivals, folder, scratch_path(spark, "dedup-state/run")), "held")
 
-    met_again = held.where("n > 1").withColumnRenamed("digest", "_digest")
-    hits = slim.join(met_again, digest_of(F.col("text")) == F.col("_digest"))
-    hits = stage(hits.select(F.col("_digest").alias("digest"), arrival.alias("arrival"), "first", "text"), "hits")
+    placed = stage(arrivals.join(held, "digest"), "placed")
+    met_again = placed.where("n > 1").select("digest", "arrival", "first", F.col("arrival._at").alias("_at"))
+    # of texts, little more than those to be compared move
+    maybe, _ = split_by(docs.select("text", "_at"), met_again.select("_at"), "_at")
+    hits = stage(maybe.join(met_again, "_at").select("digest", "arrival", "first", text.alias("text")), "hits")
     kept = hits.where("arrival = first").select("digest", F.col("text").alias("kept_text"))
     # staged before it is made distinct, so that a hot digest's comparisons may be split over tasks
     other = stage(hits.where("arrival <> first").join(kept, "digest").where("text <> kept_text").select("digest"), "digest-clashes")
     if other.isEmpty():
-        return _rows(arrivals.join(held, "digest"))
+        return _rows(placed)
     other = other.distinct()
     clashing = hits.join(other, "digest", "left_semi")
     own = clashing.groupBy("digest", "text").agg(F.min("arrival").alias("first"), F.count("*").alias("n"))
     told_apart = clashing.drop("first").join(own, ["digest", "text"]).select("digest", "arrival", "first", "n")
-    plain = arrivals.join(other, "digest", "left_anti").join(held, "digest").select("digest", "arrival", "first", "n")
+    plain = placed.join(other, "digest", "left_anti").select("digest", "arrival", "first", "n")
     return _rows(plain.unionByName(told_apart))
 
 
@@ -125,4 +127,4 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     columns, docs = docs.columns, located(docs)
     gone = settled(docs.sparkSession, "dropped", lambda: exact_duplicates(docs).where("NOT kept").select("_at"))
-    return docs.join(gone.hint("merge"), "_at", "left_anti").select(*columns)  # its size has no bound: no broadcast
+    return without(docs, gone, "_at").select(*columns)
