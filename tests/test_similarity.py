@@ -163,3 +163,34 @@ def test_block_merges_in_order(spark):
     assert all(r.cosine == pytest.approx(1.0) for r in pairs)
     everyone = blocking.candidate_arrays(frames(spark, s1, s23)[0], blocking.block(*frames(spark, s1, s23)))
     assert {r.s1_id: len(r.candidates) for r in everyone.collect()} == {"S1-1": 42, "S1-2": 30, "S1-3": 0, "S1-4": 0}
+
+
+def test_pairs_do_not_move(spark, tmp_path):
+    """Rows that leave a block and a cell are a query's best, not the pairs that were compared."""
+    s23 = [(f"S2-{i:04d}", f"hot{i % 12} tail{i % 300}", "us") for i in range(1200)]
+    s1 = [(f"S1-{i:04d}", f"hot{i % 12} tail{i % 7}", "us") for i in range(200)]
+    left, right = (blocking.docs(x, {"name": F.col("nn")}) for x in frames(spark, s1, s23))
+    index = SimilarityIndex(right, PARAMS, {"name": 5})
+    texts = index.query_texts(left).dropDuplicates(["qid"])
+    plan = stage(index._plan(index._bounds(texts)), "plan")
+    scores = index.scores(plan)
+    executed = scores._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in executed and "hashpartitioning(qn" in executed
+    assert scores.groupBy("qn").count().where("count > 5").isEmpty()
+    assert found(index.top_k(left).drop("corpus")) == {k: v for k, v in brute_force(s1, s23, 5).items() if v}
+
+
+def test_cell_gives_the_ids_of_better_vectors_first():
+    """K IDs of strictly better vectors leave no room; vectors of equal score go by number."""
+    import pyarrow as pa
+
+    from kinmatch.operators import cellscores
+
+    offered = pa.table({"tid": [1, 1, 1, 1], "vn": [9, 4, 7, 5], "n_ids": pa.array([2, 1, 1, 3], pa.int32()), "w": [0.9, 0.5, 0.5, 0.4]})
+    asked = {"qn": [1], "slice": [0], "slices": [1], "theta": [0.0], "tids": [[1, 2]], "ws": [[0.5, 0.5]]}
+
+    def vectors(k):
+        return cellscores.best_in_cell(pa.table(asked | {"k": pa.array([k], pa.int32())}), offered)["vn"].to_pylist()
+
+    assert vectors(2) == [9] and vectors(3) == [9, 4, 7] and vectors(5) == [9, 4, 7, 5]
+    assert cellscores.best_in_cell(pa.table(asked | {"k": pa.array([2], pa.int32())}).slice(0, 0), offered).num_rows == 0
