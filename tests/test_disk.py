@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from kinmatch.operators import blocking
+from kinmatch.operators import blocking, evaluate, features
 from kinmatch.operators.similarity import SimilarityIndex
 from kinmatch.params import LinkParams
 from kinmatch.session import scratch, shared_folder
@@ -48,3 +48,27 @@ def test_a_staged_plan_holds_each_term_once(spark):
     slim = index._slim(index._plan(index._bounds(texts)))
     assert slim.columns == ["qn", "qid", "corpus", "s", "theta", "slices"] and slim.count() > 0
     assert slim.select(F.explode("s").alias("t")).select("t.*").columns == ["tid", "w", "best", "n_vectors"]
+
+
+def test_slices_hold_every_pair_once(spark, monkeypatch):
+    s1, s23 = records(spark)
+    s1 = s1.unionByName(s1.limit(3))  # a record given twice doubles its pairs, as in one join
+    pairs = blocking.block(s1, s23, PARAMS)
+    want = sorted(map(tuple, features.pair_features(pairs, s1, s23).select("s1_id", "c_id", "name_ratio", "addr_jaccard").collect()), key=str)
+    monkeypatch.setattr(features, "SLICE_PAIRS", 100)
+    before = staged(spark)
+    made = features.by_slices(
+        pairs, s1, s23, lambda sided: features.add_features(sided).select("s1_id", "c_id", "name_ratio", "addr_jaccard"), "sliced"
+    )
+    assert len(made.inputFiles()) >= features.MOST_SLICES
+    assert all(name.startswith("sliced-") and "records" not in name for name in staged(spark) - before)
+    assert sorted(map(tuple, made.collect()), key=str) == want
+
+
+def test_pairs_below_every_cut_off_stay_out_of_the_join(spark):
+    truth = spark.createDataFrame([("a", ["x"]), ("b", ["y"]), ("c", [])], "s1_id string, truth array<string>")
+    rows = [("a", "x", 0.9), ("a", "z", 0.4), ("b", "y", 0.1), ("c", "x", None), ("c", "y", float("nan"))]
+    scored = spark.createDataFrame(rows, "s1_id string, c_id string, prob double")
+    got = evaluate.threshold_sweep(scored, truth, (0.8, 0.5))
+    assert "(prob" in got._jdf.queryExecution().optimizedPlan().toString().split("Join")[-1]
+    assert {r.threshold: round(r.score, 6) for r in got.collect()} == {0.8: round(1 / 3, 6), 0.5: round(1 / 3, 6)}
