@@ -1,12 +1,14 @@
 """What the linkage keeps on disk: intermediate tables go, and pairs with both texts go through in slices."""
 
 import os
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from kinmatch.operators import blocking, evaluate, features
+from kinmatch import session
+from kinmatch.operators import blocking, evaluate, features, training
 from kinmatch.operators.similarity import SimilarityIndex
-from kinmatch.params import LinkParams
+from kinmatch.params import FEATURES, LinkParams
 from kinmatch.session import scratch, shared_folder
 
 PARAMS = LinkParams(name_k=5, addr_k=4)
@@ -72,3 +74,25 @@ def test_pairs_below_every_cut_off_stay_out_of_the_join(spark):
     got = evaluate.threshold_sweep(scored, truth, (0.8, 0.5))
     assert "(prob" in got._jdf.queryExecution().optimizedPlan().toString().split("Join")[-1]
     assert {r.threshold: round(r.score, 6) for r in got.collect()} == {0.8: round(1 / 3, 6), 0.5: round(1 / 3, 6)}
+
+
+def test_blocking_in_slices_finds_the_same_pairs(spark, monkeypatch):
+    """Scores, answers and pairs are written in slices, whose shuffle files go before the next; nothing else stays."""
+    s1, s23 = records(spark)
+    want = sorted(map(tuple, blocking.block(s1, s23, PARAMS).collect()), key=str)
+    monkeypatch.setattr(session, "SLICE_ROWS", 700)
+    before = staged(spark)
+    pairs = blocking.block(s1, s23, PARAMS)
+    left = staged(spark) - before
+    assert len(left) == 1 and left.pop().startswith("pairs-")
+    assert len({os.path.basename(os.path.dirname(f)) for f in pairs.inputFiles()}) > 1
+    assert sorted(map(tuple, pairs.collect()), key=str) == want
+
+
+def test_a_fit_leaves_no_copy_of_its_pairs(spark):
+    rows = [("a%d" % i, "b", float(i % 2), *[float(i % 7)] * (len(FEATURES) - 1), i % 2) for i in range(300)]
+    pairs = spark.createDataFrame(rows, "s1_id string, c_id string, " + ", ".join(f"{f} double" for f in FEATURES) + ", label int")
+    before = staged(spark)
+    model = training.fit(pairs, replace(PARAMS, rounds=2, depth=2, min_leaf=5), early_stop=False)
+    assert staged(spark) == before
+    assert model.stages[-1].featureImportances[0] > 0.9
