@@ -109,8 +109,13 @@ def check_extra_s1(rows: DataFrame, required: DataFrame) -> DataFrame:
 
 
 def check_subset(links: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Records with a linked ID that is not among their candidates."""
-    return listed_ids(links).join(listed_ids(candidates), ["s1_id", "c_id"], "left_anti").select("s1_id").distinct()
+    """Records with a linked ID that is not among their candidates.
+
+    The candidates of a record move as one list, not as a row each. An ID that is null is among none.
+    """
+    known = listed_ids(candidates).groupBy("s1_id").agg(F.collect_set("c_id").alias("_known"))
+    stray = F.exists("ids", lambda x: F.coalesce(~F.array_contains("_known", x), F.lit(True)))
+    return links.where(F.size("ids") > 0).join(known, "s1_id", "left").where(stray).select("s1_id").distinct()
 
 
 def list_summary(rows: DataFrame) -> DataFrame:

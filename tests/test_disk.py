@@ -6,7 +6,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from kinmatch import session
-from kinmatch.operators import blocking, evaluate, features, training
+from kinmatch.operators import blocking, evaluate, features, quality, training
 from kinmatch.operators.similarity import SimilarityIndex
 from kinmatch.params import FEATURES, LinkParams
 from kinmatch.session import scratch, shared_folder
@@ -96,3 +96,47 @@ def test_a_fit_leaves_no_copy_of_its_pairs(spark):
     model = training.fit(pairs, replace(PARAMS, rounds=2, depth=2, min_leaf=5), early_stop=False)
     assert staged(spark) == before
     assert model.stages[-1].featureImportances[0] > 0.9
+
+
+def test_what_is_made_of_pairs_is_staged_without_them(spark, monkeypatch):
+    """Neither the index nor all pairs are there while features are made of a slice."""
+    s1, s23 = records(spark)
+    columns = ("s1_id", "c_id", "name_jaccard", "addr_exact")
+    pairs = blocking.block(s1, s23, PARAMS)
+    want = sorted(map(tuple, features.pair_features(pairs, s1, s23).select(*columns).collect()), key=str)
+    monkeypatch.setattr(session, "SLICE_ROWS", 700)
+    before, seen = staged(spark), []
+
+    def make(pairs, s1, s23):
+        seen.append({name.rsplit("-", 1)[0] for name in staged(spark) - before})
+        return features.both_sides(pairs, s1, s23).withColumns(features.set_scores()).select(*columns)
+
+    made = blocking.block(s1, s23, PARAMS, make=make, name="made")
+    assert len(seen) > 1 and all(not names & {"pairs", "postings", "vectors", "termstats", "planslice", "best"} for names in seen)
+    left = staged(spark) - before
+    assert len(left) == 1 and left.pop().startswith("made-")
+    assert sorted(map(tuple, made.collect()), key=str) == want
+
+
+def test_one_slice_of_best_vectors_is_there_at_a_time(spark, monkeypatch):
+    s1, s23 = records(spark)
+    monkeypatch.setattr(session, "SLICE_ROWS", 700)
+    before, seen, hits = staged(spark), [], SimilarityIndex._hits
+
+    def spy(self, best):
+        seen.append(sorted(name.rsplit("-", 1)[0] for name in staged(spark) - before))
+        return hits(self, best)
+
+    monkeypatch.setattr(SimilarityIndex, "_hits", spy)
+    blocking.block(s1, s23, PARAMS)
+    assert len(seen) > 2 and all(names.count("best") == 1 and "queryplan" not in names for names in seen)
+    assert [names.count("planslice") for names in seen] == list(range(len(seen) - 1, -1, -1))
+
+
+def test_candidates_meet_links_as_lists(spark):
+    links = [("a", ["x", "y"]), ("b", ["x", None]), ("c", []), ("d", ["z"]), ("e", ["x"]), (None, ["x"]), ("f", None), ("a", ["x"])]
+    held = [("a", ["x"]), ("a", ["y", "x"]), ("b", ["x", None]), ("d", [None, "y"]), (None, ["x"]), ("g", ["x"])]
+    frames = [spark.createDataFrame(rows, "s1_id string, ids array<string>") for rows in (links, held)]
+    found = quality.check_subset(*frames)
+    assert {r.s1_id for r in found.collect()} == {"b", "d", "e", None}
+    assert "LeftAnti" not in found._jdf.queryExecution().optimizedPlan().toString()
