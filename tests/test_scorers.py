@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kinmatch.functions import scorers
 from kinmatch.operators import features
+from kinmatch.params import FEATURES
 
 
 def lcs(a, b):
@@ -157,6 +158,42 @@ def test_raw_entry_normalises_first(spark):
     assert (row.name_exact, row.addr_exact, row.country_exact, row.tfidf_cosine) == (1.0, 1.0, 1.0, 0.0)
 
 
+def test_raw_records_are_normalised_once(spark):
+    """Of whole records, the features of raw fields are those of pairs that carry the fields, without normalising per pair."""
+    rows = [("S1-1", "ABC Private Limited", "1 Main Road", " US"), ("S2-1", "abc pvt. ltd.", "1 main rd", "us"), ("S2-2", None, "x & y", "India")]
+    raw = spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string")
+    pairs = spark.createDataFrame([("S1-1", "S2-1"), ("S1-1", "S2-2"), ("S1-1", "S2-3")], "s1_id string, c_id string")
+    sides = [raw.toDF(key, f"n{n}", f"a{n}", f"c{n}") for n, key in ((1, "s1_id"), (2, "c_id"))]
+    fields = pairs.join(sides[0], "s1_id").join(sides[1], "c_id")
+    want = features.pair_features_raw(fields).select("s1_id", "c_id", *FEATURES).orderBy("c_id").collect()
+    got = features.pair_features_raw(pairs, features.raw_records(raw))
+    assert got.orderBy("c_id").collect() == want and len(want) == 2 and want[0].name_exact == 1.0
+
+
+def test_texts_are_split_once_a_pair(spark):
+    pairs = spark.createDataFrame([("a b", "b a", "c", "c d", "us", "us", 0.5)], "nn1 string, nn2 string, na1 string, na2 string, cc1 string, cc2 string, cosine double")
+    plan = features.add_features(pairs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 4 and plan.count("ArrowEvalPython") == 1
+
+
+def test_windows_are_followed_only_where_they_may_win(monkeypatch):
+    """Each pair takes a walk from the front and one from the back; windows between only while they may beat these."""
+    followed, walk = [], scorers._window_lcs
+    monkeypatch.setattr(scorers, "_window_lcs", lambda *a: followed.append(len(a[5])) or walk(*a))
+    a = ["abcdefgh" * 3 + "x"] * 20 + ["qwer" * 5]
+    b = ["abcdefgh" * 3 + "y" + "z" * 30] * 20 + ["zz" + "qwe_" * 5 + "z" * 9]
+    np.testing.assert_allclose(scorers.partial_ratios(a, b), [partial(x, y) for x, y in zip(a, b)], atol=1e-12)
+    assert sum(followed) < 40  # all starts of all pairs are 20 x 55 + 31
+
+
+def test_letters_of_any_script():
+    rng = random.Random(8)
+    text = lambda: "".join(chr(rng.choice((97, 98, 0x4E00, 0x4E01, 0x10348, 0x1F600))) for _ in range(rng.randint(1, 130)))
+    a, b = [text() for _ in range(60)], [text() for _ in range(60)]
+    assert list(scorers.lcs_lengths(a, b)) == [lcs(x, y) for x, y in zip(a, b)]
+    np.testing.assert_allclose(scorers.partial_ratios(a[:25], b[:25]), [partial(x, y) for x, y in zip(a, b)][:25], atol=1e-12)
+
+
 def test_udfs_by_name(spark):
     scorers.register(spark)
     row = spark.sql("SELECT lcs_length('kitten', 'sitting') AS a, partial_ratio('abc', 'xabcx') AS b").first()
