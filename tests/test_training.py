@@ -64,6 +64,35 @@ def test_ensemble_ends_at_the_best_watched_round(world):
     # the shorter ensemble is a prefix of the longer one
     nodes = [[t.toDebugString.split("\n", 1)[1] for t in m.stages[-1].trees] for m in (tuned, whole)]
     assert nodes[0] == nodes[1][:best]
+    again = training.fit(labelled.where(~watched), replace(longer, rounds=best), early_stop=False)  # all its rounds run, no more
+    assert again.stages[-1].featureImportances == tuned.stages[-1].featureImportances
+    probs = [training.score(m, watch).orderBy("s1_id", "c_id").select("prob").collect() for m in (again, tuned)]
+    assert probs[0] == probs[1]
+
+
+def test_early_stop_fits_once(world, monkeypatch):
+    *_, labelled, _, _ = world
+    runs, fitted = [], training.GBTClassifier.fit
+    monkeypatch.setattr(training.GBTClassifier, "fit", lambda self, rows: runs.append(self.getMaxIter()) or fitted(self, rows))
+    monkeypatch.setattr(training, "best_round", lambda losses, patience: 2)
+    tuned = training.fit(labelled, replace(q.SMALL_TREES, rounds=4, depth=2))
+    assert runs == [4] and tuned.stages[-1].getNumTrees == 2 and tuned.stages[-1].getMaxDepth() == 2
+
+
+def test_fit_queries_fit_the_whole_ensemble(world, spark, sf, monkeypatch):
+    """The registered fits take the production parameters, not those of small trees."""
+    *_, labelled, _, _ = world
+    seen, fit = [], training.fit_table
+
+    def short(table, params, early_stop=True, rounds=None):
+        seen.append(params)
+        return fit(table, replace(params, rounds=2, depth=2), early_stop, rounds)
+
+    monkeypatch.setattr(training, "fit_table", short)
+    monkeypatch.setattr(q, "_labelled", lambda *_: labelled)
+    for name in ("gbt_fit", "gbt_refit"):
+        assert q.QUERIES[name](spark, sf).count() == len(FEATURES)
+    assert [(p.rounds, p.depth, p.min_leaf, p.step) for p in seen] == [(300, 8, 50, 0.06)] * 2
 
 
 def test_training_from_sources_samples_by_country(world, monkeypatch):
