@@ -8,7 +8,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from kinmatch.operators import blocking, tfidf
+from kinmatch.operators import blocking, similarity, tfidf
 from kinmatch.operators.similarity import SimilarityIndex
 from kinmatch.params import LinkParams
 from kinmatch.session import stage
@@ -131,6 +131,34 @@ def test_first_slice_bounds_the_others(spark):
     assert found(index.top_k(left).drop("corpus")) == want
 
 
+def test_what_moves_does_not_grow_with_slices_and_small_cells(spark):
+    """A query goes to no more than two slices of ``MOST_SPLITS`` cells, a posting to no more blocks, however small they are set."""
+    s1, s23 = make(4, 600)
+    params = replace(PARAMS, cell_postings=1, cell_queries=1, slice_pairs=5)
+    left, right = (blocking.docs(x, {"name": F.col("nn")}) for x in frames(spark, s1, s23))
+    index = SimilarityIndex(right, params, {"name": 5})
+    plan = stage(index._slim(index._plan(index._bounds(index.query_texts(left).dropDuplicates(["qid"])))), "plan")
+    assert plan.agg(F.max("slices")).first()[0] > 10
+    dealt, terms = index._cells(plan, 1000)
+    assert dealt.agg(F.max("c_split"), F.max("q_split")).first() == (similarity.MOST_SPLITS,) * 2
+    assert terms.agg(F.max(F.size("blocks"))).first()[0] <= similarity.MOST_SPLITS * 3  # three countries
+    counts = index.scores(plan, None, 1000).groupBy("qn").count()
+    assert counts.where(F.col("count") > 2 * 5).isEmpty()
+    assert found(index.top_k(left).drop("corpus")) == {k: v for k, v in brute_force(s1, s23, 5).items() if v}
+
+
+def test_catalogue_texts_are_normalised_in_many_tasks(spark, tmp_path):
+    """A part file of one block is dealt over tasks before its texts are made."""
+    from kinmatch.plans import fixtures as fx
+
+    rows = [(i, "large ring", "Brand#7", ("SMALL", "PROMO")[i % 2], 3) for i in range(400)] + [(None, None, None, None, None)]
+    schema = "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    raw = fx.catalog_sources(spark, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "part.parquet")).rdd.getNumPartitions() == 1
+    assert raw.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) and raw.count() == 802
+
+
 def test_terms_of_every_record_are_dropped_before_the_exchange(spark):
     rows = [(f"{i:03d}", f"every one u{i % 40} v{i % 30}") for i in range(300)]
     docs = spark.createDataFrame(rows, "id string, text string").withColumn("corpus", F.lit("name:us"))
